@@ -26,6 +26,28 @@ def p3_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unify_turns(_read(spark, sf_dir, "dialogues"))
 
 
+def _p4_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .dupes import keys, parsed_lines
+
+    dialogues = keys(_read(spark, sf_dir, "dialogues").select("record_id", "prompt_id", "prompt", "messages"))
+    return dialogues.unionByName(keys(parsed_lines(_read(spark, sf_dir, "raw_lines").select("record_id", "line"))))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members of groups of copies, with the smallest record of their group."""
+    from .dupes import members
+
+    out = members(_p4_keys(spark, sf_dir)).filter("record_id <> first_record_id")
+    return out.select("first_record_id", "record_id")
+
+
+def p4_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record per group with the number of its copies."""
+    from .dupes import copies
+
+    return copies(_p4_keys(spark, sf_dir))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns of which at least 40 % is repeated: judged by the decision list, then checked exactly."""
     from .repetition import SHARE, repetition
