@@ -72,13 +72,13 @@ def parsed_lines(lines: DataFrame) -> DataFrame:
     return parsed.select("record_id", "r.prompt_id", "r.prompt", "r.messages").filter(F.size("messages") > 0)
 
 
-def members(keyed: DataFrame) -> DataFrame:
-    """(k1, k2, record_id, first_record_id, copies) for every keyed row.
+def members(keyed: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(k1, k2, record_id, first_record_id, copies) and ``carry`` for every keyed row.
 
     A null record_id is counted but never represents a group unless all are
     null; an empty input gives an empty result.
     """
-    table = written(keyed, "copies")
+    table = written(keyed.select("k1", "k2", "record_id", *carry), "copies")
     n = table.count()
     hot_from = max(HOT_ROWS, -(-n // HOT_PART))
     hot = table.groupBy("k1", "k2").count().filter(F.col("count") >= hot_from).select("k1", "k2")
@@ -91,7 +91,7 @@ def members(keyed: DataFrame) -> DataFrame:
     busy = hot_rows.join(F.broadcast(tops), ["k1", "k2"])
     group = Window.partitionBy("k1", "k2")
     rest = table.join(hot, ["k1", "k2"], "left_anti").select(
-        "k1", "k2", "record_id", F.min("record_id").over(group).alias("first_record_id"), F.count("*").over(group).alias("copies")
+        "*", F.min("record_id").over(group).alias("first_record_id"), F.count("*").over(group).alias("copies")
     )
     return rest.unionByName(busy.select(rest.columns))
 

@@ -209,7 +209,16 @@ def runs(h: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray
 
 def sums(values: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Sum of values[off[i]:off[i+1]] for each i (0 for empty stretches)."""
-    c = np.concatenate((np.zeros((1,) + values.shape[1:], np.result_type(values, np.int64) if values.dtype != np.float32 else np.float64), np.cumsum(values, axis=0, dtype=np.int64 if values.dtype.kind in "bui" else np.float64)))
+    kind = np.int64 if values.dtype.kind in "bui" else np.float64
+    c = np.zeros((len(values) + 1,) + values.shape[1:], kind)
+    np.cumsum(values, axis=0, dtype=kind, out=c[1:])
+    return c[off[1:]] - c[off[:-1]]
+
+
+def sums_u64(values: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """The same for 64-bit hashes, modulo 2**64."""
+    c = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values, out=c[1:])
     return c[off[1:]] - c[off[:-1]]
 
 

@@ -12,6 +12,21 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a test and a train record that are the same or nearly so."""
+    from .overlap import overlaps
+
+    pairs = overlaps(_read(spark, sf_dir, "dialogues"))
+    return pairs.select(F.least("test_id", "train_id").alias("record_id_a"), F.greatest("test_id", "train_id").alias("record_id_b"))
+
+
+def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Affected test records per split and source."""
+    from .overlap import report
+
+    return report(_read(spark, sf_dir, "dialogues"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns holding characters for which a plain one that looks the same should stand."""
     from .unify import unify_turns
