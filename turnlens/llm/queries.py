@@ -78,6 +78,21 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(_read(spark, sf_dir, "dialogues")).select("record_id", "turn", "n_words", "share", "repetitive")
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents holding at least twelve words in a row of a benchmark item."""
+    from .passages import leaks
+
+    return leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).select("doc_id", "item_id")
+
+
+def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which test items leaked, into how many documents and how far."""
+    from .passages import leaks
+
+    out = leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return out.groupBy("item_id").agg(F.count("*").alias("documents"), F.max("words").alias("longest_run"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1].isdigit() and callable(f)}
 
