@@ -93,6 +93,21 @@ def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("item_id").agg(F.count("*").alias("documents"), F.max("words").alias("longest_run"))
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal values in documents, once per document."""
+    from .personal import findings
+
+    out = findings(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "name_list"))
+    return out.select("doc_id", "kind", "value").distinct()
+
+
+def p10_sanitised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with placeholders in place of personal values."""
+    from .personal import sanitised
+
+    return sanitised(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "name_list"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1].isdigit() and callable(f)}
 
