@@ -5,7 +5,7 @@ member of each is compared.  A class's three-word shingles are hashed once and
 spread over BINS bins; the smallest value of each bin (empty bins borrow from
 another) is its minwise signature, cut into bands of ROWS values.  Classes
 meeting in a band are candidates only if one holds test and the other train
-records.  One bit of every bin estimates their similarity and drops chance
+records.  One bit of each of BIT_BINS bins estimates their similarity and drops chance
 meetings.  What is left is verified on the words: the exact Jaccard similarity
 of the two bags of words must reach the bound that follows from the wanted
 overlap, and the longest common subsequence must reach SHARE of the longer.
@@ -30,11 +30,12 @@ from . import kernels as K
 from .dupes import members
 from .unify import unify_all
 
-SHINGLE, BINS, ROWS = 3, 128, 4
+SHINGLE, BINS, ROWS = 3, 192, 4
 SHORT, SHORT_BINS, SHORT_ROWS = 16, 32, 2
 SHARE = 0.75
-#: Of the BINS bits two signatures must share; equals a similarity of 0.33.
-BITS = 85
+#: Bins that lend a bit each to the estimate, and the bits two signatures must
+#: share; equals a similarity of 0.33.
+BIT_BINS, BITS = 128, 85
 #: Bound on the records whose ids are broadcast to fetch their texts; beyond it the ids are shuffled.
 BROADCAST_IDS = 1_000_000
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -101,7 +102,7 @@ def signatures(df: DataFrame) -> DataFrame:
                 n = np.diff(off)
                 g, goff = K.runs(h, off, SHINGLE)
                 sig = minima(g, goff, BINS)
-                bits = np.packbits((K.mix(sig) & np.uint64(1)).astype(np.uint8), axis=1, bitorder="little").view(np.int64)
+                bits = np.packbits((K.mix(sig[:, :BIT_BINS]) & np.uint64(1)).astype(np.uint8), axis=1, bitorder="little").view(np.int64)
                 long_keys, short_keys = bands(sig, ROWS, 1), None
                 short = n <= SHORT
                 if short.any():
@@ -216,7 +217,7 @@ def overlaps(dialogues: DataFrame) -> DataFrame:
     near = (
         t.join(r, "key")
         .filter((F.col("t") != F.col("r")) & (F.least("tn", "rn") >= SHARE * F.greatest("tn", "rn")))
-        .filter((F.greatest("tn", "rn") <= 2 * SHORT) | (alike <= BINS - BITS))
+        .filter((F.greatest("tn", "rn") <= 2 * SHORT) | (alike <= BIT_BINS - BITS))
         .select("t", "r")
         .distinct()
     )
