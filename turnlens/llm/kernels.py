@@ -139,7 +139,7 @@ class Block:
 
     def __init__(self, texts: list[str]):
         self.texts = texts
-        joined = "\n".join(texts) + "\n"
+        self.joined = joined = "\n".join(texts) + "\n"
         self.cp = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.int32)
         lens = np.fromiter(map(len, texts), np.int64, len(texts))
         self.end = np.cumsum(lens + 1) - 1

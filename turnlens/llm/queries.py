@@ -63,6 +63,29 @@ def p4_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies(_p4_keys(spark, sf_dir))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The languages of dialogues whose label is missing, wrong or names one of several."""
+    from .languages import corrections
+
+    return corrections(_read(spark, sf_dir, "dialogues")).select("record_id", "lang").distinct()
+
+
+def p5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dialogue with its languages and their confidence."""
+    from .languages import assign
+
+    return assign(_read(spark, sf_dir, "dialogues")).select("record_id", "label", "n_words", F.explode_outer("languages").alias("l")).select(
+        "record_id", "label", "n_words", "l.*"
+    )
+
+
+def p5_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stretch of one language inside a turn."""
+    from .languages import stretches
+
+    return stretches(_read(spark, sf_dir, "dialogues"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns of which at least 40 % is repeated: judged by the decision list, then checked exactly."""
     from .repetition import SHARE, repetition
