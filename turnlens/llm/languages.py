@@ -160,29 +160,38 @@ class LanguageModel:
         return out
 
 
-def _word_counts(texts: list[str]) -> dict[str, int]:
-    out: dict[str, int] = {}
-    for text in texts:
-        block = K.Block([text])
-        s, e = block.spans()
-        for a, b in zip(s.tolist(), e.tolist()):
-            w = block.joined[a:b].lower()
-            out[w] = out.get(w, 0) + 1
+def _blocks_of(texts: list[str]) -> Iterator[tuple[int, int, K.Block]]:
+    for lo, hi in K.blocks(np.fromiter(map(len, texts), np.int64, len(texts))):
+        yield lo, hi, K.Block(texts[lo:hi])
+
+
+def _word_counts(texts: list[str], langs: np.ndarray) -> list[dict[str, int]]:
+    """The words of the texts of each language and how often they stand there; texts of language -1 are left out."""
+    out: list[dict[str, int]] = [{} for _ in LANGS]
+    for lo, hi, block in _blocks_of(texts):
+        h, s, e, off = block.words()
+        lang = np.repeat(langs[lo:hi], np.diff(off))
+        for j, seen in enumerate(out):
+            at = np.flatnonzero(lang == j)
+            _, first, n = np.unique(h[at], return_index=True, return_counts=True)
+            for i, c in zip(at[first].tolist(), n.tolist()):
+                w = block.joined[s[i] : e[i]].lower()
+                seen[w] = seen.get(w, 0) + c
     return out
 
 
 def fit(labelled: list[tuple[str, str]]) -> LanguageModel:
     """Trees from (language, text) pairs, of which some labels may be wrong."""
-    rows = [(LANGS.index(lang), unified) for (lang, _), unified in zip(labelled, unify_all([t for _, t in labelled])[0]) if lang in LANGS]
-    parts = [[t for j, t in rows if j == lang] for lang in range(len(LANGS))]
-    model = LanguageModel([_word_counts(p) for p in parts])
-    clean: list[list[str]] = [[] for _ in LANGS]
-    for lang, text in rows:
-        block = K.Block([text])
-        h, s, e, _ = block.words()
-        if h.size and int(model.of_words(h, s, e, block.joined).sum(0).argmin()) == lang:
-            clean[lang].append(text)
-    return LanguageModel([_word_counts(p) for p in clean])
+    labelled = [(lang, t) for lang, t in labelled if lang in LANGS]
+    texts = unify_all([t for _, t in labelled])[0]
+    langs = np.array([LANGS.index(lang) for lang, _ in labelled], np.int64)
+    model = LanguageModel(_word_counts(texts, langs))
+    clean = np.full(len(texts), -1, np.int64)
+    for lo, hi, block in _blocks_of(texts):
+        g = segment(model, block)
+        own = langs[lo:hi]
+        clean[lo:hi] = np.where((g["turn_bits"].argmin(1) == own) & (np.diff(g["off"]) > 0), own, -1)
+    return LanguageModel(_word_counts(texts, clean))
 
 
 def fit_on(dialogues: DataFrame, rows: int = TRAIN_ROWS) -> LanguageModel:
