@@ -224,7 +224,7 @@ def segment(model: LanguageModel, block: K.Block) -> dict[str, np.ndarray]:
     turn_bits = K.sums(bits, off)
     if not h.size:
         empty = np.zeros(0, np.int64)
-        return {"lang": empty, "bits": np.zeros((0, len(LANGS))), "words": empty, "text": empty, "first": empty, "start": empty, "end": empty, "turn_bits": turn_bits, "off": off, "hash": h}
+        return {"lang": empty, "bits": np.zeros((0, len(LANGS))), "words": empty, "text": empty, "first": empty, "start": empty, "end": empty, "starts": empty, "turn_bits": turn_bits, "off": off, "hash": h}
     breaks = np.cumsum(K.table("break", _break_of, np.uint8)(block.cp), dtype=np.int64)
     key = breaks[s]
     new = np.concatenate(([True], key[1:] != key[:-1]))
@@ -239,7 +239,7 @@ def segment(model: LanguageModel, block: K.Block) -> dict[str, np.ndarray]:
     lang = np.where(weak, turn_lang, lang)
     return {
         "lang": lang, "bits": sent, "words": np.diff(soff), "text": text, "first": first,
-        "start": s[first], "end": e[soff[1:] - 1], "turn_bits": turn_bits, "off": off, "hash": h,
+        "start": s[first], "end": e[soff[1:] - 1], "starts": s, "turn_bits": turn_bits, "off": off, "hash": h,
     }
 
 

@@ -12,6 +12,13 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assistant turns that are no usable answer to the user turn before them."""
+    from .pairs import defects
+
+    return defects(_read(spark, sf_dir, "dialogues")).distinct()
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a test and a train record that are the same or nearly so."""
     from .overlap import overlaps
