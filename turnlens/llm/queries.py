@@ -93,6 +93,20 @@ def p5_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stretches(_read(spark, sf_dir, "dialogues"))
 
 
+def p6_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens under the project's pieces by source, language, domain and role, with roll-ups."""
+    from .tokens import budget, dialogue_tokens
+
+    return budget(dialogue_tokens(_read(spark, sf_dir, "dialogues"), _read(spark, sf_dir, "vocab")))
+
+
+def p6_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every dialogue by role."""
+    from .tokens import dialogue_tokens
+
+    return dialogue_tokens(_read(spark, sf_dir, "dialogues"), _read(spark, sf_dir, "vocab"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns of which at least 40 % is repeated: judged by the decision list, then checked exactly."""
     from .repetition import SHARE, repetition
@@ -108,6 +122,20 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(_read(spark, sf_dir, "dialogues")).select("record_id", "turn", "n_words", "share", "repetitive")
 
 
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in containers of each capacity of context_windows."""
+    from functools import reduce
+
+    from ..sources.scratch import written
+    from .packing import pack
+    from .tokens import public_model, sizes
+
+    sized = written(sizes(_read(spark, sf_dir, "documents").select("doc_id", "text"), public_model(spark), ["doc_id"]), "sizes")
+    windows = _read(spark, sf_dir, "context_windows").filter("capacity > 0").orderBy("window_id").collect()  # a row per capacity
+    parts = [pack(sized, int(w["capacity"])).select(F.lit(w["window_id"]).alias("window_id"), "*") for w in windows]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents holding at least twelve words in a row of a benchmark item."""
     from .passages import leaks
