@@ -165,7 +165,7 @@ def pack(sized: DataFrame, capacity: int, id_col: str = "doc_id") -> DataFrame:
     items = (
         sized.select(F.col(id_col).alias("item"), tokens.alias("total"))
         .select("item", "total", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
-        .withColumn("offset", F.col("piece") * cap)
+        .withColumn("offset", F.col("piece").cast("long") * cap)
         .withColumn("size", F.least(F.col("total") - F.col("offset"), cap))
         .withColumn("part", F.spark_partition_id())
         .withColumn("seq", F.monotonically_increasing_id())
