@@ -34,16 +34,14 @@ CONTEXT_BITS = 0.0
 ROUNDS = 2
 
 _DOT = r"(?:\.|\s?[\[({]\s?(?:dot|punkt|punto|point)\s?[\])}]\s?)"
-_AT = r"(?:@|\s?[\[({]\s?(?:at|ät|arroba)\s?[\])}]\s?)"
 _LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?"
-EMAIL = re.compile(
-    rf"[A-Za-z0-9](?:[\w.+%'-]*[\w+%-])?{_AT}{_LABEL}(?:{_DOT}{_LABEL})*{_DOT}[A-Za-z]{{2,}}"
-    rf"|\b[A-Za-z0-9][\w.+%-]*\s(?:at|arroba)\s{_LABEL}(?:\s(?:dot|punto|punkt|point)\s{_LABEL})+\b",
-    re.IGNORECASE,
-)
+_HOST = re.compile(rf"{_LABEL}(?:{_DOT}{_LABEL})*{_DOT}[A-Za-z]{{2,}}", re.IGNORECASE)
+_SPOKEN_HOST = re.compile(rf"{_LABEL}(?:\s(?:dot|punto|punkt|point)\s{_LABEL})+\b", re.IGNORECASE)
+_AT_SIGN = re.compile(r"@|[\[({]\s?(?:at|ät|arroba)\s?[\])}]\s?", re.IGNORECASE)
+_SPOKEN_AT = re.compile(r"\s(?:at|arroba)\s(?=[\w-]+\s(?:dot|punto|punkt|point)\s)", re.IGNORECASE)
 _S = r"[   ]"
 PHONE = re.compile(
-    rf"(?<![\w+]){_S}?("
+    rf"(?<![\w+])("
     rf"\+\d{{1,3}}(?:{_S}?\(0\))?(?:[-./   ]?\(?\d{{1,5}}\)?){{2,7}}"
     rf"|\(0?\d{{2,4}}\){_S}?\d{{3,4}}(?:[-   .]\d{{2,4}}){{1,3}}"
     rf"|00\d{{9,13}}"
@@ -63,15 +61,28 @@ _EN_KIND = r"(?:Street|Road|Lane|Avenue|Close|Drive|Court|Square|Crescent|Terrac
 _FR_KIND = r"(?:rue|avenue|boulevard|bd|chemin|place|allée|impasse|quai|cours)"
 _ES_KIND = r"(?:Calle|C/|Avenida|Avda\.|Plaza|Paseo|Camino|Carrera|Ronda|Travesía)"
 _SI_KIND = "(?:වීදිය|මාවත|පාර|පටුමග)"
-ADDRESS = re.compile(
+NUMBER_FIRST = re.compile(
     rf"(?<![\w.,-])\d{{1,5}}(?:[A-Za-z]|{_S}[A-Z])?{_S}(?:{_CAP}{_S}){{1,3}}{_EN_KIND}(?!\w)"
     rf"|(?<!\w)\d{{1,5}}(?:{_S}?(?:bis|ter|[A-D]))?,?{_S}{_FR_KIND}{_S}(?:(?:de{_S}la|du|des|de|la|le|les)?{_S}?(?:de{_S}l'|d'|l')?){_CAP}(?:[-{_S[1:-1]}]{_CAP})*"
-    rf"|(?<!\w){_ES_KIND}{_S}?(?:(?:de{_S}la|del|de|la|el|los|las){_S})?{_CAP}(?:{_S}{_CAP})*,?{_S}(?:n\.º{_S})?\d{{1,5}}(?:{_S}?[A-D](?!\w))?"
-    rf"|(?<!\w)[A-ZÄÖÜ][\w-]*(?:straße|strasse|str\.|weg|gasse|platz|allee|ring|ufer|damm|steig)(?:{_S})\d{{1,4}}(?:{_S}?[a-d](?!\w))?"
+)
+SPANISH = re.compile(
+    rf"(?<!\w){_ES_KIND}{_S}?(?:(?:de{_S}la|del|de|la|el|los|las){_S})?{_CAP}(?:{_S}{_CAP})*,?{_S}(?:n\.º{_S})?\d{{1,5}}(?:{_S}?[A-D](?!\w))?"
+)
+GERMAN = re.compile(
+    rf"(?<!\w)[A-ZÄÖÜ][\w-]*(?:straße|strasse|str\.|weg|gasse|platz|allee|ring|ufer|damm|steig)(?:{_S})\d{{1,4}}(?:{_S}?[a-d](?!\w))?"
     rf"|(?<!\w)[A-ZÄÖÜ][\w-]*[ -](?:Straße|Strasse|Str\.|Weg|Gasse|Platz|Allee|Ring){_S}\d{{1,4}}(?:{_S}?[a-d](?!\w))?"
-    rf"|අංක{_S}\d{{1,5}}(?:/\d{{1,4}})?[A-Z]?,?{_S}[඀-෿‍]+(?:{_S}[඀-෿‍]+)?{_S}{_SI_KIND}(?![඀-෿‍])"
 )
-_WORD = re.compile(r"[^\W\d_][^\W\d_'’-]*(?:['’-][^\W\d_]+)*\.?")
+SINHALA = re.compile(
+    rf"අංක{_S}\d{{1,5}}(?:/\d{{1,4}})?[A-Z]?,?{_S}[඀-෿‍]+(?:{_S}[඀-෿‍]+)?{_S}{_SI_KIND}(?![඀-෿‍])"
+)
+#: Patterns that do not begin with a number, and what a text must hold for them to be tried.
+_STREETS = (
+    (SPANISH, ("Calle", "C/", "Avenida", "Avda", "Plaza", "Paseo", "Camino", "Carrera", "Ronda", "Travesía")),
+    (GERMAN, ("straße", "strasse", "str.", "weg ", "gasse", "platz", "allee", "ring ", "ufer", "damm", "steig", "Stra", "Str.", "Weg", "Gasse", "Platz", "Allee", "Ring")),
+    (SINHALA, ("අංක",)),
+)
+_DIGITS = re.compile(r"\d+")
+_WORD = re.compile(r"[A-ZÀ-ÖØ-ÞĀ-ŽΑ-ΩА-Я][^\W\d_'’-]*(?:['’-][^\W\d_]+)*\.?")
 _NEXT = re.compile(r"[  ]*(\w+|\S|$)", re.MULTILINE)
 # Titles and forms of address, which belong to no name.
 TITLES = frozenset("ms mr mrs miss dr prof sir madam herr herrn frau fräulein monsieur madame mademoiselle mme mlle m sr sra srta señor señora señorita don doña".split())
@@ -80,17 +91,67 @@ KINDS = ("email", "phone", "id_number", "street_address")
 _RAW = "doc_id long, kind string, value string, start int, stop int, given string, family string, reversed boolean, after string"
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Addresses, each grown from its at sign to both sides."""
+    for sign, host in ((_AT_SIGN, _HOST), (_SPOKEN_AT, _SPOKEN_HOST)):
+        if sign is _AT_SIGN and "@" not in text and "[" not in text and "(" not in text and "{" not in text:
+            continue
+        if sign is _SPOKEN_AT and not any(f" {d} " in text for d in ("dot", "punto", "punkt", "point", "DOT", "PUNTO", "PUNKT", "POINT")):
+            continue
+        for m in sign.finditer(text):
+            right = host.match(text, m.end())
+            if not right:
+                continue
+            b = m.start()
+            if b and m.group()[0] != "@" and text[b - 1].isspace() and sign is _AT_SIGN:
+                b -= 1
+            a = b
+            while a and (text[a - 1].isalnum() and text[a - 1].isascii() or text[a - 1] in "_.+%'-"):
+                a -= 1
+            while a < b and not text[a].isalnum():
+                a += 1
+            if a < b and text[b - 1] not in ".'":
+                yield a, right.end()
+
+
+def _numbered(text: str) -> Iterator[tuple[str, int, int]]:
+    """Forms that begin with a number, with a sign before it or with letters before it."""
+    for m in _DIGITS.finditer(text):
+        p = m.start()
+        hit = NUMBER_FIRST.match(text, p)
+        if hit:
+            yield "street_address", p, hit.end()
+        starts = [p]
+        if p >= 2 and text[p - 2 : p].isalpha():
+            starts.append(p - 2)
+        elif p >= 3 and text[p - 1] == "-" and text[p - 3 : p - 1].isalpha():
+            starts.append(p - 3)
+        for q in starts:
+            hit = ID_NUMBER.match(text, q)
+            if hit:
+                yield "id_number", q, hit.end()
+        q = p - 1 if p and text[p - 1] in "+(" else p
+        hit = PHONE.match(text, q)
+        if hit and 7 <= sum(c.isdigit() for c in hit.group(1)) <= 15:
+            yield "phone", q, hit.end(1)
+
+
 def fixed_forms(text: str) -> list[tuple[str, int, int]]:
-    """(kind, start, end) of values with a form of their own; no two overlap."""
+    """(kind, start, end) of values with a form of their own; no two overlap.
+
+    Of overlapping ones addresses of mail come first, then street addresses,
+    identity numbers and telephone numbers, and of one kind the first.
+    """
+    found = [("email", a, b) for a, b in _emails(text)]
+    for pattern, signs in _STREETS:
+        if any(sign in text for sign in signs):
+            found += [("street_address", m.start(), m.end()) for m in pattern.finditer(text)]
+    found += _numbered(text)
+    found.sort(key=lambda x: (("email", "street_address", "id_number", "phone").index(x[0]), x[1]))
     taken: list[tuple[int, int]] = []
     out = []
-    for kind, pattern in (("email", EMAIL), ("street_address", ADDRESS), ("id_number", ID_NUMBER), ("phone", PHONE)):
-        for m in pattern.finditer(text):
-            a, b = m.span(1) if kind == "phone" else m.span()
-            if kind == "phone" and not 7 <= sum(c.isdigit() for c in text[a:b]) <= 15:
-                continue
-            if any(a < y and x < b for x, y in taken):
-                continue
+    for kind, a, b in found:
+        if not any(a < y and x < b for x, y in taken):
             taken.append((a, b))
             out.append((kind, a, b))
     return out
@@ -98,7 +159,7 @@ def fixed_forms(text: str) -> list[tuple[str, int, int]]:
 
 def name_shapes(text: str) -> list[tuple[int, int, str | None, str, bool, str]]:
     """(start, end, given, family, reversed, what follows) of pairs that may be a name."""
-    words = [(m.start(), m.end(), m.group()) for m in _WORD.finditer(text) if m.group()[0].isupper()]
+    words = [(m.start(), m.end(), m.group()) for m in _WORD.finditer(text) if not m.start() or not (text[m.start() - 1].isalnum() or text[m.start() - 1] == "_")]
     out = []
 
     def add(a: int, b: int, given: str | None, family: str, rev: bool) -> None:
