@@ -175,8 +175,8 @@ def name_shapes(text: str) -> list[tuple[int, int, str | None, str, bool, str]]:
         initials = 0
         if len(w) == 2 and w[1] == ".":  # B. Family, B. C. Family
             before = words[i - 1] if i else None
-            if before and before[1] + 1 == a and (bare(before[2]) and before[2].casefold() not in TITLES or len(before[2]) == 2 and before[2][1] == "."):
-                continue  # counted from its first word
+            if before and before[1] + 1 == a and len(before[2]) == 2 and before[2][1] == ".":
+                continue  # counted from its first initial
             k = i
             while k + 1 < len(words) and words[k + 1][0] == words[k][1] + 1 and len(words[k + 1][2]) == 2 and words[k + 1][2][1] == ".":
                 k += 1
@@ -284,15 +284,16 @@ def findings(documents: DataFrame, name_list: DataFrame, id_col: str = "doc_id",
         pairs.join(family_terms, "family")
         .join(given_terms, "given", "left")
         .filter("given IS NULL OR g")
-        .select("doc_id", "kind", "value", "start", "stop", F.coalesce("reversed", F.lit(False)).alias("reversed"))
+        .select("doc_id", "kind", "value", "start", "stop", (F.col("reversed") | F.col("given").isNull()).alias("weak"))
     )
-    # "Given Family, Given Family": the reversed reading in the middle is none
+    # "Given Family, Given Family": the reversed reading in the middle is none,
+    # nor are the initial and family name in "Given I. Family"
     before = Window.partitionBy("doc_id").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
     behind = Window.partitionBy("doc_id").orderBy("start", "stop").rowsBetween(1, Window.unboundedFollowing)
-    plain_end = F.max(F.when(~F.col("reversed"), F.col("stop"))).over(before)
-    plain_start = F.min(F.when(~F.col("reversed"), F.col("start"))).over(behind)
+    plain_end = F.max(F.when(~F.col("weak"), F.col("stop"))).over(before)
+    plain_start = F.min(F.when(~F.col("weak"), F.col("start"))).over(behind)
     names = names.withColumn("e", plain_end).withColumn("s", plain_start)
-    names = names.filter(~F.col("reversed") | ((F.coalesce("e", F.lit(-1)) <= F.col("start")) & (F.col("s").isNull() | (F.col("s") >= F.col("stop")))))
+    names = names.filter(~F.col("weak") | ((F.coalesce("e", F.lit(-1)) <= F.col("start")) & (F.col("s").isNull() | (F.col("s") >= F.col("stop")))))
     return raw.filter("kind <> 'name'").select("doc_id", "kind", "value", "start", "stop").unionByName(
         names.select("doc_id", "kind", "value", "start", "stop")
     )
