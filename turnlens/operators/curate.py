@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text
+from ..sources.scratch import written
 
 
 def has_blank_turn(messages: Column) -> Column:
@@ -24,10 +25,12 @@ def keep_first(df: DataFrame, key: str, order: str, blank: Column) -> DataFrame:
     are duplicates whether blank or not; blank rows before it are empty.  Null
     keys are one key.
     """
-    by_key = Window.partitionBy(key)
-    first = F.min(F.when(~blank, F.col(order))).over(by_key)
-    outcome = F.when(F.col(order) > first, "dup").when(blank, "empty").otherwise("kept")
-    return df.withColumn("outcome", outcome)
+    # the first row of a key is aggregated partly before the shuffle, so a key of
+    # any size costs one row per task; the join is open to skew splitting
+    first = df.filter(~blank).groupBy(F.col(key).alias("_key")).agg(F.min(order).alias("_first"))
+    joined = df.join(first, df[key].eqNullSafe(first["_key"]), "left")
+    outcome = F.when(F.col(order) > F.col("_first"), "dup").when(blank, "empty").otherwise("kept")
+    return joined.withColumn("outcome", outcome).drop("_key", "_first")
 
 
 def last_wins(df: DataFrame, key: str, order: str) -> DataFrame:
@@ -40,20 +43,17 @@ def last_wins(df: DataFrame, key: str, order: str) -> DataFrame:
 def parts(df: DataFrame, order: str, n: int) -> DataFrame:
     """Rows dealt round-robin to ``n`` parts in the order of ``order``.
 
-    Exact global ordinals without one global sort partition: rows are ranged
-    by ``order`` into buckets, bucket sizes are summed, and a row's ordinal is
-    its place in its bucket plus the buckets before.
+    Exact global ordinals without sorting everything in one place: rows are
+    ranged by ``order``, the sizes of the ranges are summed, and a row's
+    ordinal is its place in its range plus the ranges before.
     """
-    bounds = df.stat.approxQuantile(order, [i / 64 for i in range(1, 64)], 0.01)
-    bucket = F.lit(0)
-    for i, b in enumerate(sorted(set(bounds)), 1):
-        bucket = F.when(F.col(order) > b, i).otherwise(bucket)
-    ranged = df.withColumn("_bucket", bucket)
-    sizes = ranged.groupBy("_bucket").agg(F.count("*").alias("_n"))  # 64 rows
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = ranged.join(F.broadcast(sizes.withColumn("_before", before).drop("_n")), "_bucket")
-    ordinal = F.col("_before") + F.row_number().over(Window.partitionBy("_bucket").orderBy(order)) - 1
-    return placed.withColumn("part", (ordinal % n).cast("int")).drop("_bucket", "_before")
+    ranged = df.repartitionByRange(F.col(order)).withColumn("_range", F.spark_partition_id())
+    ranged = written(ranged, "ranges")  # both uses below must see the same ranges
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))  # a row per partition
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = ranged.join(F.broadcast(sizes.withColumn("_before", before).drop("_n")), "_range")
+    ordinal = F.col("_before") + F.row_number().over(Window.partitionBy("_range").orderBy(order)) - 1
+    return placed.withColumn("part", (ordinal % n).cast("int")).drop("_range", "_before")
 
 
 def route(df: DataFrame, ids: DataFrame, key: str = "prompt_id", id_col: str = "prompt_id") -> DataFrame:

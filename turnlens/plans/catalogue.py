@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import conjuncts, masking, patterns, segments, stats, text
 from ..operators import curate, profile, quality, tokens
 from ..schema import clean_messages, messages_of, split_order
+from ..streaming import translate
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -472,6 +473,17 @@ def mask_round_trip(spark, d):
     return m.select("record_id", "pos", masking.unmasked(F.col("x.masked"), F.col("x.originals")).alias("restored"))
 
 
+@query(
+    f"""WITH l AS (SELECT record_id, prompt, prompt_id, list_filter(coalesce(messages, []), lambda x: x IS NOT NULL) AS l FROM dialogues)
+SELECT prompt_id, count(*) AS n, sum(len(l))::BIGINT AS messages, sum(length(coalesce(prompt, '')))::BIGINT AS prompt_chars FROM l GROUP BY prompt_id"""
+)
+def translated_records(spark, d):
+    """The whole translation chain with the identity for a translator."""
+    out = translate.translated(dialogues(spark, d))
+    size = F.aggregate(F.col("messages"), F.lit(0).cast("long"), lambda a, m: a + 1)
+    return out.groupBy("prompt_id").agg(F.count("*").alias("n"), F.sum(size).alias("messages"), F.sum(F.length(F.coalesce("prompt", F.lit("")))).alias("prompt_chars"))
+
+
 @query()
 def segmented_messages(spark, d):
     m = messages_of(dialogues(spark, d), "record_id").withColumn("x", segments.cut_to(F.col("content")))
