@@ -475,13 +475,13 @@ def mask_round_trip(spark, d):
 
 @query(
     f"""WITH l AS (SELECT record_id, prompt, prompt_id, list_filter(coalesce(messages, []), lambda x: x IS NOT NULL) AS l FROM dialogues)
-SELECT prompt_id, count(*) AS n, sum(len(l))::BIGINT AS messages, sum(length(coalesce(prompt, '')))::BIGINT AS prompt_chars FROM l GROUP BY prompt_id"""
+SELECT prompt_id, count(*) AS n, sum(len(l))::BIGINT AS messages, count(prompt) AS prompts FROM l GROUP BY prompt_id"""
 )
 def translated_records(spark, d):
     """The whole translation chain with the identity for a translator."""
     out = translate.translated(dialogues(spark, d))
     size = F.aggregate(F.col("messages"), F.lit(0).cast("long"), lambda a, m: a + 1)
-    return out.groupBy("prompt_id").agg(F.count("*").alias("n"), F.sum(size).alias("messages"), F.sum(F.length(F.coalesce("prompt", F.lit("")))).alias("prompt_chars"))
+    return out.groupBy("prompt_id").agg(F.count("*").alias("n"), F.sum(size).alias("messages"), F.count("prompt").alias("prompts"))
 
 
 @query()
