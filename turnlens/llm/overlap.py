@@ -34,8 +34,8 @@ SHINGLE, BINS, ROWS = 3, 192, 4
 SHORT, SHORT_BINS, SHORT_ROWS = 16, 32, 2
 SHARE = 0.75
 #: Bins that lend a bit each to the estimate, and the bits two signatures must
-#: share; equals a similarity of 0.33.
-BIT_BINS, BITS = 128, 85
+#: share; equals a similarity of 0.25.
+BIT_BINS, BITS = 64, 40
 #: Bound on the records whose ids are broadcast to fetch their texts; beyond it the ids are shuffled.
 BROADCAST_IDS = 1_000_000
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -62,13 +62,13 @@ def minima(g: np.ndarray, off: np.ndarray, bins: int) -> np.ndarray:
 
 
 def bands(sig: np.ndarray, rows: int, kind: int) -> np.ndarray:
-    """One 64-bit key per band of ``rows`` values."""
+    """One 32-bit key per band of ``rows`` values; keys of different bands are told apart by their place."""
     n, bins = sig.shape
     parts = sig.reshape(n, bins // rows, rows)
     key = np.full((n, bins // rows), np.uint64(kind)) + np.arange(bins // rows, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for r in range(rows):
         key = K.mix(key ^ K.mix(parts[:, :, r] + np.uint64(r)))
-    return key
+    return (key >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _records(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -89,7 +89,7 @@ def _chain(h: np.ndarray, off: np.ndarray, seed: int) -> np.ndarray:
     return K.mix(K.sums_u64(K.mix(h + np.uint64(seed)) * p[local], off) + np.diff(off).astype(np.uint64))
 
 
-_SIGNED = "record_id long, side int, k1 long, k2 long, n int, b0 long, b1 long, bands array<long>"
+_SIGNED = "record_id long, side int, k1 long, k2 long, n int, bits long, bands array<int>"
 
 
 def signatures(df: DataFrame) -> DataFrame:
@@ -107,12 +107,11 @@ def signatures(df: DataFrame) -> DataFrame:
                 short = n <= SHORT
                 if short.any():
                     short_keys = bands(minima(h, off, SHORT_BINS), SHORT_ROWS, 2)
-                out = []
-                for i in range(len(rows)):
-                    k = long_keys[i] if n[i] >= SHINGLE else long_keys[i][:0]
-                    if short[i] and n[i]:
-                        k = np.concatenate((k, short_keys[i]))
-                    out.append(k.view(np.int64))
+                k1 = _chain(h, off, 1)
+                # too few words for a shingle: nothing to meet but a copy
+                few = n < SHINGLE
+                long_keys[few] = (k1[few] >> np.uint64(32)).astype(np.uint32).view(np.int32)[:, None]
+                out = [np.concatenate((long_keys[i], short_keys[i])) if short[i] else long_keys[i] for i in range(len(rows))]
                 keep = np.flatnonzero(n > 0)
                 if not keep.size:
                     continue
@@ -122,14 +121,13 @@ def signatures(df: DataFrame) -> DataFrame:
                     [
                         pa.array(ids[rows][keep], pa.int64()),
                         pa.array(side[rows][keep], pa.int32()),
-                        pa.array(_chain(h, off, 1)[keep].view(np.int64)),
+                        pa.array(k1[keep].view(np.int64)),
                         pa.array(_chain(h, off, 2)[keep].view(np.int64)),
                         pa.array(n[keep], pa.int32()),
                         pa.array(bits[keep, 0]),
-                        pa.array(bits[keep, 1]),
                         pa.ListArray.from_arrays(pa.array(loff), pa.array(flat)),
                     ],
-                    ["record_id", "side", "k1", "k2", "n", "b0", "b1", "bands"],
+                    ["record_id", "side", "k1", "k2", "n", "bits", "bands"],
                 )
 
     return df.mapInArrow(run, _SIGNED)
@@ -209,15 +207,17 @@ def overlaps(dialogues: DataFrame) -> DataFrame:
     signed = written(signatures(source), "signatures")
     group = written(members(signed, ("side",)).select("record_id", "side", F.col("first_record_id").alias("rep")), "classes")
     sides = group.groupBy("rep").agg(F.max("side").alias("test"), F.min("side").alias("train"))
-    reps = signed.join(sides, signed["record_id"] == sides["rep"]).select("rep", "test", "train", "n", "b0", "b1", "bands")
-    rows = written(reps.select("rep", "test", "train", "n", "b0", "b1", F.explode("bands").alias("key")), "bands")
-    t = rows.filter("test = 1").select(F.col("rep").alias("t"), F.col("n").alias("tn"), F.col("b0").alias("t0"), F.col("b1").alias("t1"), "key")
-    r = rows.filter("train = 0").select(F.col("rep").alias("r"), F.col("n").alias("rn"), F.col("b0").alias("r0"), F.col("b1").alias("r1"), "key")
-    alike = F.bit_count(F.col("t0").bitwiseXOR(F.col("r0"))) + F.bit_count(F.col("t1").bitwiseXOR(F.col("r1")))
+    reps = signed.join(sides, signed["record_id"] == sides["rep"]).select("rep", "test", "train", "n", "bits", "bands")
+    key = F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("band").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
+    rows = reps.select("rep", "test", "train", "n", "bits", F.posexplode("bands").alias("pos", "band")).select("rep", "test", "train", "n", "bits", key.alias("key"))
+    rows = written(rows, "bands")
+    t = rows.filter("test = 1").select(F.col("rep").alias("t"), F.col("n").alias("tn"), F.col("bits").alias("tb"), "key")
+    r = rows.filter("train = 0").select(F.col("rep").alias("r"), F.col("n").alias("rn"), F.col("bits").alias("rb"), "key")
+    unlike = F.bit_count(F.col("tb").bitwiseXOR(F.col("rb")))
     near = (
         t.join(r, "key")
         .filter((F.col("t") != F.col("r")) & (F.least("tn", "rn") >= SHARE * F.greatest("tn", "rn")))
-        .filter((F.greatest("tn", "rn") <= 2 * SHORT) | (alike <= BIT_BINS - BITS))
+        .filter((F.greatest("tn", "rn") <= 2 * SHORT) | (unlike <= BIT_BINS - BITS))
         .select("t", "r")
         .distinct()
     )
