@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import is_blank
 from ..schema import RECORD, split_order
 
 _SHARD = r"^(.+?)-\d{5}-of-\d{5}.*\.parquet$"
@@ -53,8 +54,10 @@ def read_jsonl(spark: SparkSession, glob: str, on_bad: str = "keep") -> DataFram
     leaves bad lines out, "raise" fails on the first.
     """
     if on_bad == "keep":
-        schema = RECORD.add("_corrupt", "string") if "_corrupt" not in RECORD.names else RECORD
-        return spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(glob)
+        lines = spark.read.text(glob).filter(~is_blank(F.col("value")))
+        bad = F.try_parse_json("value").isNull()
+        parsed = lines.select(F.when(~bad, F.from_json("value", RECORD)).alias("r"), F.when(bad, F.col("value")).alias("_corrupt"))
+        return parsed.select("r.*", "_corrupt")
     return spark.read.schema(RECORD).option("mode", {"drop": "DROPMALFORMED", "raise": "FAILFAST"}[on_bad]).json(glob)
 
 
