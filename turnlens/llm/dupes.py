@@ -48,8 +48,10 @@ def canonical(prompt_id: Column, prompt: Column, messages: Column) -> Column:
     whole = F.concat(
         F.coalesce(prompt_id, F.lit("")), F.lit(_FIELD), F.coalesce(prompt, null), F.lit(_TURN), F.array_join(turns, _TURN)
     )
-    # upper before lower, so that letters with several lower-case forms meet
-    return F.regexp_replace(F.replace(F.lower(F.upper(whole)), F.lit("ς"), F.lit("σ")), _DROPPED, "")
+    # upper before lower, so that letters with several lower-case forms meet; what
+    # stands between keeps the optimiser from dropping the upper
+    upper = F.replace(F.upper(whole), F.lit("ẞ"), F.lit("SS"))
+    return F.regexp_replace(F.replace(F.lower(upper), F.lit("ς"), F.lit("σ")), _DROPPED, "")
 
 
 def keys(records: DataFrame) -> DataFrame:

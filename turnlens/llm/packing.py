@@ -26,9 +26,10 @@ from pyspark.sql.window import Window
 
 from ..sources.scratch import written
 
-#: Rounds of multiplicative weights, and the step.
-ROUNDS = 80
-STEP = 0.3
+#: Rounds of multiplicative weights and their step: few large steps, and many
+#: small ones where those leave more than TOLERANCE over the bound.
+SCHEDULE = ((80, 0.3), (300, 0.1))
+TOLERANCE = 0.001
 
 
 @dataclass
@@ -92,8 +93,26 @@ def best_pattern(lengths: np.ndarray, weights: np.ndarray, most: np.ndarray, cap
     return out
 
 
-def plan(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS, step: float = STEP) -> Plan:
-    """Pack ``histogram`` (items by length, lengths up to the capacity) into few containers."""
+def plan(histogram: dict[int, int], capacity: int) -> Plan:
+    """Pack ``histogram`` (items by length, lengths up to the capacity) into few containers.
+
+    Of the roundings of the program and a plain best fit the one with the
+    fewest containers is taken, the program's if equal.
+    """
+    bound = sum(n * c for n, c in histogram.items()) / capacity
+    best: Plan | None = None
+    for rounds, step in SCHEDULE:
+        p = _rounded(histogram, capacity, rounds, step)
+        best = p if best is None or p.containers < best.containers else best
+        if best.containers <= bound * (1 + TOLERANCE) + 1:
+            return best
+    plain = Plan()
+    _best_fit({n: c for n, c in histogram.items() if n > 0}, capacity, plain, {})
+    return plain if plain.containers < best.containers else best
+
+
+def _rounded(histogram: dict[int, int], capacity: int, rounds: int, step: float) -> Plan:
+    """The program's solution after some rounds, rounded."""
     lengths = np.array(sorted(n for n, c in histogram.items() if n > 0 and c > 0), np.int64)
     counts = np.array([histogram[n] for n in lengths.tolist()], np.int64)
     result, used = Plan(), {}

@@ -234,7 +234,7 @@ def candidates(documents: DataFrame, id_col: str = "doc_id", text: str = "text")
 
 
 def _bits(hit: Column, n: Column, base: Column) -> Column:
-    return F.when(hit > 0, F.log2(hit / n / base))
+    return F.when((hit > 0) & (base > 0), F.log2(F.try_divide(F.try_divide(hit, n), base)))
 
 
 def _disclosing(shapes: DataFrame, given: DataFrame, family: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -243,7 +243,7 @@ def _disclosing(shapes: DataFrame, given: DataFrame, family: DataFrame) -> tuple
     known = shapes.join(given.withColumn("g", yes), "given", "left").join(family.withColumn("f", yes), "family", "left")
     known = known.withColumns({"g": F.coalesce("g", F.lit(False)), "f": F.coalesce("f", F.lit(False))})
     entity = F.count_if(F.col("g") & F.col("f"))
-    base = known.agg((entity / F.count("*")).alias("base"))
+    base = known.agg(F.try_divide(entity, F.count("*")).alias("base"))
     context = (
         known.groupBy("after")
         .agg(entity.alias("hit"), F.count("*").alias("n"))

@@ -122,7 +122,7 @@ class PublicBPE:
         if not text:
             return 0
         if not self.cuts or MARK in text or text.isspace():
-            return len(sp.encode(text if first else text[1:], num_threads=1))
+            return len(sp.encode(text, num_threads=1)) if first else self._after(text)
         total = 0
         seen = self.seen
         for unit in self._UNIT.findall(text):
@@ -134,14 +134,14 @@ class PublicBPE:
             if n is None:
                 if len(seen) > REMEMBERED:
                     seen.clear()
-                if unit.isspace() and unit.strip(" ") == "":
-                    n = len(sp.encode("a" + unit, num_threads=1)) - len(sp.encode("a", num_threads=1))
-                else:
-                    n = len(sp.encode(unit[1:], num_threads=1))
-                seen[unit] = n
+                n = seen[unit] = self._after(unit)
             total += n
         return total
 
+    def _after(self, text: str) -> int:
+        """Tokens of a text that begins with a space, after another."""
+        return len(self.sp.encode("a" + text, num_threads=1)) - len(self.sp.encode("a", num_threads=1))
+
 
 def _chunks(text: str, size: int) -> list[str]:
     """Cut before words that follow a space, each chunk of about ``size`` characters."""
