@@ -194,15 +194,21 @@ def fit(labelled: list[tuple[str, str]]) -> LanguageModel:
     return LanguageModel(_word_counts(texts, clean))
 
 
+def sampled(df: DataFrame, rows: int, id_col: str = "record_id") -> DataFrame:
+    """The ``rows`` rows of the smallest id hashes.
+
+    A bound on the hash, from the number of rows, leaves about twice as many
+    to order, so what tasks send to the driver does not grow with their number.
+    """
+    place = F.shiftrightunsigned(F.xxhash64(id_col), 1)
+    share = min(1.0, 2 * rows / max(1, df.count()))
+    return df.filter(place <= int(share * ((1 << 63) - 1))).orderBy(place, id_col).limit(rows)
+
+
 def fit_on(dialogues: DataFrame, rows: int = TRAIN_ROWS) -> LanguageModel:
     """Trees from the labelled dialogues with the ``rows`` smallest id hashes."""
-    sample = (
-        dialogues.select("record_id", label_of(F.col("lang")).alias("lang"), F.col("messages.content").alias("contents"))
-        .filter(F.col("lang").isin(*LANGS))
-        .orderBy(F.xxhash64("record_id"), "record_id")
-        .limit(rows)
-        .collect()
-    )
+    labelled = dialogues.select("record_id", label_of(F.col("lang")).alias("lang"), F.col("messages.content").alias("contents"))
+    sample = sampled(labelled.filter(F.col("lang").isin(*LANGS)), rows).collect()
     return fit([(r["lang"], t) for r in sample for t in r["contents"] or [] if t])
 
 
