@@ -238,6 +238,23 @@ def test_languages(spark, model):
     assert [x["lang"] for x in s] == ["de", "fr"]
 
 
+def test_sampled_takes_the_smallest_hashes(spark):
+    df = spark.range(5000).withColumnRenamed("id", "record_id")
+    place = F.shiftrightunsigned(F.xxhash64("record_id"), 1)
+    for rows in (50, 4000, 9000):
+        got = {r[0] for r in languages.sampled(df, rows).collect()}
+        assert got == {r[0] for r in df.orderBy(place, "record_id").limit(rows).collect()}
+    assert languages.sampled(df.filter("record_id < 0"), 5).count() == 0
+
+
+def test_models_fit_on_tables(spark):
+    rows = [dialogue(i, [(SAMPLES[k], U), (SAMPLES[k], A)], lang=k) for i, k in enumerate(("en", "fr", "de", "es", "si") * 3)] + ODD
+    df = make(spark, rows)
+    assert languages.corrections(df).filter("record_id < 15").count() == 0
+    assert pairs.defects(df.filter("record_id < 0")).count() == 0 and languages.corrections(df.filter("record_id < 0")).count() == 0
+    assert {r["defect"] for r in pairs.defects(df).collect()} <= set(pairs.DEFECTS)
+
+
 def test_held_out_accuracy(model):
     rest = {"en": "everyone has helped with the bridge", "fr": "tous ont aidé près du pont", "de": "allen an der Brücke geholfen", "es": "gracias a todos cerca del puente"}
     for lang, t in rest.items():

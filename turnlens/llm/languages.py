@@ -201,8 +201,10 @@ def sampled(df: DataFrame, rows: int, id_col: str = "record_id") -> DataFrame:
     to order, so what tasks send to the driver does not grow with their number.
     """
     place = F.shiftrightunsigned(F.xxhash64(id_col), 1)
-    share = min(1.0, 2 * rows / max(1, df.count()))
-    return df.filter(place <= int(share * ((1 << 63) - 1))).orderBy(place, id_col).limit(rows)
+    n = df.count()
+    if n > 2 * rows:
+        df = df.filter(place < (1 << 63) // n * 2 * rows)
+    return df.orderBy(place, id_col).limit(rows)
 
 
 def fit_on(dialogues: DataFrame, rows: int = TRAIN_ROWS) -> LanguageModel:
