@@ -200,6 +200,25 @@ def test_overlaps_against_brute_force(spark):
     assert {r["split"] for r in report.collect()} == {"test_gen", "test_sft"}
 
 
+def test_scattered_changes_are_found(spark):
+    rng = random.Random(15)
+    vocab = [f"w{i}" for i in range(3000)]
+    rows = []
+    for i, n in enumerate([4, 8, 12, 17, 20, 24, 28, 32, 33, 40, 60, 60, 80, 100, 150, 200, 200, 400] * 3):
+        w = [rng.choice(vocab) for _ in range(n)]
+        x = list(w)
+        for k in rng.sample(range(n), int(n * (0.15, 0.2, 0.25)[i % 3])):
+            x[k] = f"new{k}"
+        if i % 2:  # the change may lengthen the dialogue as well
+            x.insert(rng.randrange(len(x)), "more")
+        rows += [dialogue(2 * i, [(" ".join(w), U)]), dialogue(2 * i + 1, [(" ".join(x), U)], split="test_sft")]
+    got = {(r["test_id"], r["train_id"]) for r in overlap.overlaps(make(spark, rows)).collect()}
+    words = {r[0]: np.array([hash(w) & 0xFFFFFFFF for w in brute_words(r[7][0][0])], np.uint32) for r in rows}
+    near = lambda a, b: overlap.common_words(a, b) >= 0.75 * max(a.size, b.size)
+    want = {(x, y) for x in words for y in words if x % 2 and not y % 2 and near(words[x], words[y])}
+    assert got == want and len(want) > 30
+
+
 # --- languages ----------------------------------------------------------------
 
 SAMPLES = {

@@ -1,19 +1,23 @@
 """Problem 2: the same or nearly the same records across splits.
 
 Dialogues with the same words in the same order form one class, and only one
-member of each is compared.  A class's three-word shingles are hashed once and
-spread over BINS bins; the smallest value of each bin (empty bins borrow from
-another) is its minwise signature, cut into bands of ROWS values.  Classes
-meeting in a band are candidates only if one holds test and the other train
-records.  One bit of each of BIT_BINS bins estimates their similarity and drops chance
-meetings.  What is left is verified on the words: the exact Jaccard similarity
-of the two bags of words must reach the bound that follows from the wanted
-overlap, and the longest common subsequence must reach SHARE of the longer.
-
-The wanted overlap is TESTDATA.md's (three quarters of the words, in order); at
-such overlaps five-word shingles can have a similarity under 0.3, so shingles
-of three words are used.  Dialogues of at most SHORT words are also compared
-by single words, since one change leaves them few shingles.
+member of each is compared.  Candidates come from an exact prefix filter.  A
+dialogue's words, each told apart by which occurrence it is, are put in one
+order for all dialogues, rare ones first.  If two dialogues of n and m words
+share at least SHARE of the longer, the rarest l of the shared words lie among
+the first n - ceil(SHARE * n) + l of the one and m - ceil(SHARE * m) + l of the
+other, so pairs whose prefixes share fewer are out and no pair of the
+definition is lost.  l grows with the length (LEAST), as a longer prefix leaves
+fewer chance candidates.  Prefixes are counted against each other in blocks of
+test and train dialogues whose lengths allow the overlap.
+
+What is left is verified on the words: the exact Jaccard similarity of the two
+bags of words must reach the bound that follows from the wanted overlap, and
+the longest common subsequence must reach SHARE of the longer.  The wanted
+overlap is TESTDATA.md's (three quarters of the words, in order).
+
+Where most dialogues are made of the same few thousand words the count is
+quadratic in the classes: a prefix without common words does not exist there.
 """
 
 from __future__ import annotations
@@ -30,45 +34,17 @@ from . import kernels as K
 from .dupes import members
 from .unify import unify_all
 
-SHINGLE, BINS, ROWS = 3, 192, 4
-SHORT, SHORT_BINS, SHORT_ROWS = 16, 32, 2
 SHARE = 0.75
-#: Bins that lend a bit each to the estimate, and the bits two signatures must
-#: share; equals a similarity of 0.25.
-BIT_BINS, BITS = 64, 40
+#: Words the prefixes of two dialogues must share: one and a LEAST-th of the words.
+LEAST = 6
+#: Length classes in a step of 1 / SHARE.
+STEPS = 2
+#: Prefix words of a block, at most (one longer dialogue makes one longer block).
+PREFIX_WORDS = 4_000_000
+#: Records whose words set the order, about, and the bits of their hashes that are counted.
+ORDER_ROWS, ORDER_BITS = 20_000, 18
 #: Bound on the records whose ids are broadcast to fetch their texts; beyond it the ids are shuffled.
 BROADCAST_IDS = 1_000_000
-_NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
-
-
-def minima(g: np.ndarray, off: np.ndarray, bins: int) -> np.ndarray:
-    """One-permutation minwise signature of each stretch of hashes, empty bins filled."""
-    n = len(off) - 1
-    owner = np.repeat(np.arange(n, dtype=np.int64), np.diff(off))
-    sig = np.full(n * bins, _NONE)
-    np.minimum.at(sig, owner * bins + (g % np.uint64(bins)).astype(np.int64), g // np.uint64(bins))
-    sig = sig.reshape(n, bins)
-    filled = sig.copy()
-    some = (sig != _NONE).any(1)
-    i, j = np.nonzero((sig == _NONE) & some[:, None])
-    step = 1
-    while i.size:
-        src = (K.mix(j.astype(np.uint64) * np.uint64(1000003) + np.uint64(step)) % np.uint64(bins)).astype(np.int64)
-        v = sig[i, src]
-        filled[i, j] = np.where(v != _NONE, v, filled[i, j])
-        rest = v == _NONE
-        i, j, step = i[rest], j[rest], step + 1
-    return filled
-
-
-def bands(sig: np.ndarray, rows: int, kind: int) -> np.ndarray:
-    """One 32-bit key per band of ``rows`` values; keys of different bands are told apart by their place."""
-    n, bins = sig.shape
-    parts = sig.reshape(n, bins // rows, rows)
-    key = np.full((n, bins // rows), np.uint64(kind)) + np.arange(bins // rows, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for r in range(rows):
-        key = K.mix(key ^ K.mix(parts[:, :, r] + np.uint64(r)))
-    return (key >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _records(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -89,62 +65,172 @@ def _chain(h: np.ndarray, off: np.ndarray, seed: int) -> np.ndarray:
     return K.mix(K.sums_u64(K.mix(h + np.uint64(seed)) * p[local], off) + np.diff(off).astype(np.uint64))
 
 
-_SIGNED = "record_id long, side int, k1 long, k2 long, n int, bits long, bands array<int>"
-
-
 def signatures(df: DataFrame) -> DataFrame:
-    """Class key, word count, similarity bits and band keys of each record with words."""
+    """Class key, word count and word hashes of each record with words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, side = np.asarray(batch.column("record_id")), np.asarray(batch.column("side"))
             for rows, h, off in _records(batch):
                 n = np.diff(off)
-                g, goff = K.runs(h, off, SHINGLE)
-                sig = minima(g, goff, BINS)
-                bits = np.packbits((K.mix(sig[:, :BIT_BINS]) & np.uint64(1)).astype(np.uint8), axis=1, bitorder="little").view(np.int64)
-                long_keys, short_keys = bands(sig, ROWS, 1), None
-                short = n <= SHORT
-                if short.any():
-                    short_keys = bands(minima(h, off, SHORT_BINS), SHORT_ROWS, 2)
-                k1 = _chain(h, off, 1)
-                # too few words for a shingle: nothing to meet but a copy
-                few = n < SHINGLE
-                long_keys[few] = (k1[few] >> np.uint64(32)).astype(np.uint32).view(np.int32)[:, None]
-                out = [np.concatenate((long_keys[i], short_keys[i])) if short[i] else long_keys[i] for i in range(len(rows))]
                 keep = np.flatnonzero(n > 0)
-                if not keep.size:
-                    continue
-                flat = np.concatenate([out[i] for i in keep])
-                loff = np.concatenate(([0], np.cumsum([out[i].size for i in keep]))).astype(np.int32)
+                small = (h >> np.uint64(32)).astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids[rows][keep], pa.int64()),
                         pa.array(side[rows][keep], pa.int32()),
-                        pa.array(k1[keep].view(np.int64)),
+                        pa.array(_chain(h, off, 1)[keep].view(np.int64)),
                         pa.array(_chain(h, off, 2)[keep].view(np.int64)),
                         pa.array(n[keep], pa.int32()),
-                        pa.array(bits[keep, 0]),
-                        pa.ListArray.from_arrays(pa.array(loff), pa.array(flat)),
+                        pa.array([small[off[i] : off[i + 1]].tobytes() for i in keep], pa.binary()),
                     ],
-                    ["record_id", "side", "k1", "k2", "n", "bits", "bands"],
+                    ["record_id", "side", "k1", "k2", "n", "words"],
                 )
 
-    return df.mapInArrow(run, _SIGNED)
+    return df.mapInArrow(run, "record_id long, side int, k1 long, k2 long, n int, words binary")
+
+
+def _hashes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The 32-bit hashes of a binary column end to end, and their offsets by row."""
+    parts = [np.frombuffer(x, np.uint32) for x in col.to_pylist()]
+    off = np.concatenate(([0], np.cumsum([x.size for x in parts]))).astype(np.int64)
+    return np.concatenate([np.zeros(0, np.uint32), *parts]), off
+
+
+def occurrences(words: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """A hash of each word and how often it stood before in its record, in any order inside a record."""
+    owner = np.repeat(np.arange(len(off) - 1, dtype=np.uint64), np.diff(off))
+    s = np.sort(owner << np.uint64(32) | words)
+    new = np.ones(s.size, bool)
+    new[1:] = s[1:] != s[:-1]
+    at = np.arange(s.size)
+    nth = at - np.maximum.accumulate(np.where(new, at, 0))
+    word = s & np.uint64(0xFFFFFFFF)
+    return (K.mix((word << np.uint64(32)) + nth.astype(np.uint64)) >> np.uint64(32)).astype(np.uint32)
+
+
+def needed(n: np.ndarray) -> np.ndarray:
+    """Words that a dialogue of n words must share, at the least."""
+    return np.ceil(SHARE * n - 1e-9).astype(np.int64)
+
+
+def prefixes(words: np.ndarray, off: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each record's rarest words, and their offsets; ``count`` holds the words by the first bits of their hash."""
+    n = np.diff(off)
+    x = occurrences(words, off)
+    owner = np.repeat(np.arange(n.size), n)
+    x = x[np.lexsort((x, count[x >> np.uint32(32 - ORDER_BITS)], owner))]
+    size = np.minimum(n, n - needed(n) + 1 + n // LEAST)
+    keep = np.arange(x.size) - off[owner] < size[owner]
+    return x[keep], np.concatenate(([0], np.cumsum(size)))
+
+
+def length_class(n: np.ndarray) -> np.ndarray:
+    return np.floor(np.log(np.maximum(n, 1)) * (STEPS / -np.log(SHARE))).astype(np.int32)
 
 
-def _word_arrays(df: DataFrame) -> DataFrame:
+def _order(signed: DataFrame) -> np.ndarray:
+    """How often words stand in some of the records; any order is right, this one makes few candidates."""
+    share = max(1, signed.count() // ORDER_ROWS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << ORDER_BITS, np.int64)
         for batch in batches:
-            ids = np.asarray(batch.column("record_id"))
-            for rows, h, off in _records(batch):
-                small = (h >> np.uint64(32)).astype(np.uint32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[rows], pa.int64()), pa.array([small[off[i] : off[i + 1]].tobytes() for i in range(len(rows))], pa.binary())],
-                    ["record_id", "words"],
-                )
+            x = occurrences(*_hashes(batch.column(0)))
+            total += np.bincount(x >> np.uint32(32 - ORDER_BITS), minlength=total.size)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["at", "n"])
+
+    # no more rows than there are counters
+    t = signed.filter(F.pmod("k1", F.lit(share)) == 0).select("words").mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(1 << ORDER_BITS, np.int64)
+    out[t["at"].to_numpy()] = t["n"].to_numpy()
+    return out
+
 
-    return df.mapInArrow(run, "record_id long, words binary")
+def _prefix_rows(reps: DataFrame, count: np.ndarray) -> DataFrame:
+    """Prefix, own length class and the classes that can hold an overlapping record, of each class of copies."""
+    held = reps.sparkSession.sparkContext.broadcast(count)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = np.asarray(batch.column("n")).astype(np.int64)
+            x, off = prefixes(*_hashes(batch.column("words")), held.value)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(c) for c in ("rep", "test", "train", "n")),
+                    pa.array(np.diff(off).astype(np.int32)),
+                    pa.array(length_class(n)),
+                    pa.array(length_class(needed(n))),
+                    pa.array(length_class(np.floor(n / SHARE + 1e-9))),
+                    pa.array([x[off[i] : off[i + 1]].tobytes() for i in range(n.size)], pa.binary()),
+                ],
+                ["rep", "test", "train", "n", "size", "own", "low", "high", "prefix"],
+            )
+
+    return reps.mapInArrow(run, "rep long, test int, train int, n int, size int, own int, low int, high int, prefix binary")
+
+
+def meetings(t: pa.Table, r: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of two blocks whose prefixes share enough words for an overlap."""
+    (x, xoff), (y, yoff) = _hashes(t["prefix"]), _hashes(r["prefix"])
+    tn, rn = t["n"].to_numpy().astype(np.int64), r["n"].to_numpy().astype(np.int64)
+    owner = np.repeat(np.arange(rn.size), np.diff(yoff))
+    order = np.argsort(y, kind="stable")
+    y, owner = y[order], owner[order]
+    lo, hi = np.searchsorted(y, x, "left"), np.searchsorted(y, x, "right")
+    met = hi > lo
+    moff = np.concatenate(([0], np.cumsum(met)))[xoff].tolist()
+    lo, hi = lo[met], hi[met]
+    t_spare, r_spare = np.diff(xoff) - tn, np.diff(yoff) - rn
+    # fewest words that any pair of the dialogue must share here
+    fewest = np.minimum(t_spare + needed(tn), (r_spare + needed(rn)).min())
+    left, right = [], []
+    for i in range(tn.size):
+        a, b = moff[i], moff[i + 1]
+        if a == b:
+            continue
+        shared = np.bincount(np.concatenate([owner[p:q] for p, q in zip(lo[a:b].tolist(), hi[a:b].tolist())]))
+        j = np.flatnonzero(shared >= fewest[i])
+        if not j.size:
+            continue
+        least = needed(np.maximum(tn[i], rn[j]))
+        j = j[(np.minimum(tn[i], rn[j]) >= least) & (shared[j] >= least + np.minimum(t_spare[i], r_spare[j]))]
+        left.append(np.full(j.size, i))
+        right.append(j)
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *left]), np.concatenate([none, *right])
+
+
+def candidates(rows: DataFrame) -> DataFrame:
+    """(t, r): a test and a train class whose prefixes meet."""
+
+    def blocks(side: DataFrame, name: str, at: str) -> DataFrame:
+        """Rows by length class and block; a class has a block per PREFIX_WORDS."""
+        # as many rows as there are length classes
+        size = side.groupBy(at).agg(F.ceil(F.sum("size") / PREFIX_WORDS).cast("int").alias(name))
+        return side.join(F.broadcast(size), at)
+
+    t = rows.filter("test = 1").select("rep", "n", "size", "prefix", F.explode(F.sequence("low", "high")).alias("own"))
+    t = blocks(t, "tests", "own").withColumn("tb", F.pmod(F.xxhash64("rep"), "tests").cast("int"))
+    r = rows.filter("train = 0").select("rep", "n", "size", "prefix", "own")
+    r = blocks(r, "trains", "own").withColumn("rb", F.pmod(F.xxhash64("rep"), "trains").cast("int"))
+    # every block of a class meets every block of the other side's
+    number = lambda x, c: x.select("own", F.col(c).alias(c + "_n")).distinct()
+    t = t.join(F.broadcast(number(r, "trains")), "own").withColumn("rb", F.explode(F.sequence(F.lit(0), F.col("trains_n") - 1)))
+    r = r.join(F.broadcast(number(t, "tests")), "own").withColumn("tb", F.explode(F.sequence(F.lit(0), F.col("tests_n") - 1)))
+    key = ["own", "tb", "rb"]
+
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        if not a.num_rows or not b.num_rows:
+            return pa.table({"t": pa.array([], pa.int64()), "r": pa.array([], pa.int64())})
+        i, j = meetings(a, b)
+        x, y = a["rep"].to_numpy()[i], b["rep"].to_numpy()[j]
+        return pa.table({"t": x[x != y], "r": y[x != y]})
+
+    # columns of their own, as both sides come from one table
+    t, r = (x.select([F.col(c).alias(c) for c in ("rep", "n", "prefix", *key)]) for x in (t, r))
+    return t.groupBy(key).cogroup(r.groupBy(key)).applyInArrow(run, "t long, r long")
 
 
 def common_words(a: np.ndarray, b: np.ndarray) -> int:
@@ -206,25 +292,14 @@ def overlaps(dialogues: DataFrame) -> DataFrame:
     source = dialogues.select("record_id", side.alias("side"), "messages").filter("side IS NOT NULL AND record_id IS NOT NULL")
     signed = written(signatures(source), "signatures")
     group = written(members(signed, ("side",)).select("record_id", "side", F.col("first_record_id").alias("rep")), "classes")
-    sides = group.groupBy("rep").agg(F.max("side").alias("test"), F.min("side").alias("train"))
-    reps = signed.join(sides, signed["record_id"] == sides["rep"]).select("rep", "test", "train", "n", "bits", "bands")
-    key = F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("band").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
-    rows = reps.select("rep", "test", "train", "n", "bits", F.posexplode("bands").alias("pos", "band")).select("rep", "test", "train", "n", "bits", key.alias("key"))
-    rows = written(rows, "bands")
-    t = rows.filter("test = 1").select(F.col("rep").alias("t"), F.col("n").alias("tn"), F.col("bits").alias("tb"), "key")
-    r = rows.filter("train = 0").select(F.col("rep").alias("r"), F.col("n").alias("rn"), F.col("bits").alias("rb"), "key")
-    unlike = F.bit_count(F.col("tb").bitwiseXOR(F.col("rb")))
-    near = (
-        t.join(r, "key")
-        .filter((F.col("t") != F.col("r")) & (F.least("tn", "rn") >= SHARE * F.greatest("tn", "rn")))
-        .filter((F.greatest("tn", "rn") <= 2 * SHORT) | (unlike <= BIT_BINS - BITS))
-        .select("t", "r")
-        .distinct()
-    )
-    near = written(near, "candidates")
+    sides = written(group.groupBy("rep").agg(F.max("side").alias("test"), F.min("side").alias("train")), "sides")
+    held = F.broadcast(sides) if sides.count() <= BROADCAST_IDS else sides
+    reps = signed.join(held, signed["record_id"] == held["rep"]).select("rep", "test", "train", "n", "words")
+    rows = written(_prefix_rows(reps, _order(signed)), "prefixes")
+    near = written(candidates(rows), "candidates")
     ids = written(near.select(F.col("t").alias("record_id")).union(near.select("r")).distinct(), "compared")
     bounded = ids.count() <= BROADCAST_IDS
-    words = written(_word_arrays(source.join(F.broadcast(ids) if bounded else ids, "record_id", "left_semi")), "words")
+    words = signed.join(F.broadcast(ids) if bounded else ids, "record_id", "left_semi").select("record_id", "words")
     both = near.join(words.select(F.col("record_id").alias("t"), F.col("words").alias("wt")), "t").join(
         words.select(F.col("record_id").alias("r"), F.col("words").alias("wr")), "r"
     )
