@@ -428,6 +428,19 @@ def test_passages_against_brute_force(spark):
     assert passages.leaks(df.filter("doc_id < 0"), it).count() == 0 and passages.leaks(df, it.filter("item_id < 0")).count() == 0
 
 
+def test_the_longest_of_several_runs_counts(spark):
+    rng = random.Random(16)
+    w = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(60)]
+    other = " ".join(f"other{i}" for i in range(20))
+    docs = [
+        (1, " ".join(w[:14]) + f" {other} " + " ".join(w[20:50])),  # in two pieces
+        (2, " ".join(w[5:18]) + f" {other} " + " ".join(w)),  # twice, the shorter first
+        (3, " ".join(w[30:60]) + f" {other} " + " ".join(w[:13])),
+    ]
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, " ".join(w))], "item_id long, text string")
+    assert {r["doc_id"]: r["words"] for r in passages.leaks(df, it).collect()} == {1: 30, 2: 60, 3: 30}
+
+
 # --- personal -----------------------------------------------------------------
 
 

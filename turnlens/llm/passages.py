@@ -100,7 +100,7 @@ class ItemIndex:
         self.filter[(self.grams >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
 
     def search(self, docs: Stream) -> list[tuple[int, int, int]]:
-        """(document, item, words in a row) for every pair that reaches ``run`` words."""
+        """(document, item, most words in a row) for every pair that reaches ``run`` words."""
         if not self.grams.size or not docs.grams.size:
             return []
         maybe = np.flatnonzero(self.filter[(docs.grams >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] & docs.whole)
@@ -115,6 +115,7 @@ class ItemIndex:
         doc = np.searchsorted(docs.off, d_pos, "right") - 1
         diag = (d_pos - docs.off[doc]) - (i_pos - self.stream.off[item])
         out: dict[tuple[int, int], int] = {}
+        aligned: set[tuple[int, int, int]] = set()
         # two half-shifted sets of bands: every diagonal lies well inside one
         for shift in (0, BAND // 2):
             band = (diag + shift) // BAND
@@ -124,11 +125,12 @@ class ItemIndex:
             count = np.diff(cut)
             for b in np.flatnonzero(count >= self.bound[key[cut[:-1], 1]]):
                 d, i, _ = (int(x) for x in key[cut[b]])
-                if (d, i) in out:
-                    continue
-                best = max(self._align(docs, d, i, int(x)) for x in np.unique(diag[order[cut[b] : cut[b + 1]]]))
-                if best >= self.run:
-                    out[d, i] = best
+                for x in np.unique(diag[order[cut[b] : cut[b + 1]]]).tolist():
+                    if (d, i, x) not in aligned:
+                        aligned.add((d, i, x))
+                        best = self._align(docs, d, i, x)
+                        if best >= self.run:
+                            out[d, i] = max(best, out.get((d, i), 0))
         return [(d, i, w) for (d, i), w in out.items()]
 
     def _align(self, docs: Stream, d: int, i: int, diag: int) -> int:
