@@ -381,6 +381,26 @@ def test_plan_is_near_the_bound():
         assert len(fill) <= max(1.01 * bound, sum(c for n, c in histogram.items() if 2 * n > cap) * 1.03)
 
 
+def test_the_program_covers_every_length_and_does_the_packing(monkeypatch):
+    rng = random.Random(17)
+    histogram: dict[int, int] = {}
+    for _ in range(1500):
+        n = rng.randint(150, 1000)
+        histogram[n] = histogram.get(n, 0) + 1
+    usage, bound = packing.solved(histogram, 1500, 10**9)
+    met = dict.fromkeys(histogram, 0.0)
+    for pattern, x in usage.items():
+        assert sum(n * m for n, m in pattern) <= 1500
+        for n, m in pattern:
+            met[n] += m * x
+    assert all(met[n] >= c - 1e-6 for n, c in histogram.items()) and bound <= sum(usage.values()) + 1e-6
+    rest = []
+    fit = packing._best_fit
+    monkeypatch.setattr(packing, "_best_fit", lambda left, *x: (rest.append(sum(n * c for n, c in left.items())), fit(left, *x)))
+    packing._rounded(histogram, 1500, usage)
+    assert rest[-1] < 0.3 * sum(n * c for n, c in histogram.items())
+
+
 def test_pack(spark):
     rng = random.Random(11)
     sizes = [(i, rng.choice([0, 3, 7, 10, 11, 25, None])) for i in range(300)] + [(5, 7), (5, 7)]

@@ -5,8 +5,10 @@ not depend on the number of items.  The configuration linear program - fewest
 containers whose patterns cover the histogram - is solved by multiplicative
 weights: every length has a weight, a knapsack over the capacity finds the
 pattern worth most, the pattern is used and the weights of what it covers
-fall.  The solution is rounded down; what remains is packed best fit
-decreasing, again by length and not by item.  Items get ordinals within their
+fall, until every length is covered.  The solution is rounded down, then its
+patterns are used once more each while their items last; what remains is packed
+best fit decreasing, again by length and not by item.  The program is left out
+where best fit alone needs no more containers than any packing must.  Items get ordinals within their
 length without gathering a length in one place, and an ordinal decides the
 container and position.
 
@@ -26,10 +28,11 @@ from pyspark.sql.window import Window
 
 from ..sources.scratch import written
 
-#: Rounds of multiplicative weights and their step: few large steps, and many
-#: small ones where those leave more than TOLERANCE over the bound.
-SCHEDULE = ((80, 0.3), (300, 0.1))
-TOLERANCE = 0.001
+#: Share of a pattern's scarcest length that a round of multiplicative weights covers.
+STEP = 0.25
+#: Lengths of a round's knapsack: those least covered.  Every so many rounds, and in
+#: the first, it has all lengths that are not covered, which also gives a bound.
+PRICED, WHOLE = 256, 1_000
 
 
 @dataclass
@@ -96,49 +99,68 @@ def best_pattern(lengths: np.ndarray, weights: np.ndarray, most: np.ndarray, cap
 def plan(histogram: dict[int, int], capacity: int) -> Plan:
     """Pack ``histogram`` (items by length, lengths up to the capacity) into few containers.
 
-    Of the roundings of the program and a plain best fit the one with the
-    fewest containers is taken, the program's if equal.
+    Best fit, if a bound from the lengths or from the program shows that no
+    packing has fewer containers; else the better of it and the rounded program,
+    the program's if equal.
     """
-    bound = sum(n * c for n, c in histogram.items()) / capacity
-    best: Plan | None = None
-    for rounds, step in SCHEDULE:
-        p = _rounded(histogram, capacity, rounds, step)
-        best = p if best is None or p.containers < best.containers else best
-        if best.containers <= bound * (1 + TOLERANCE) + 1:
-            return best
+    histogram = {n: c for n, c in histogram.items() if n > 0 and c > 0}
     plain = Plan()
-    _best_fit({n: c for n, c in histogram.items() if n > 0}, capacity, plain, {})
-    return plain if plain.containers < best.containers else best
+    _best_fit(histogram, capacity, plain, {})
+    if plain.containers <= -(-sum(n * c for n, c in histogram.items()) // capacity):
+        return plain
+    usage, bound = solved(histogram, capacity, plain.containers)
+    if plain.containers <= np.ceil(bound - 1e-6):
+        return plain
+    p = _rounded(histogram, capacity, usage)
+    return p if p.containers <= plain.containers else plain
 
 
-def _rounded(histogram: dict[int, int], capacity: int, rounds: int, step: float) -> Plan:
-    """The program's solution after some rounds, rounded."""
-    lengths = np.array(sorted(n for n, c in histogram.items() if n > 0 and c > 0), np.int64)
+def solved(histogram: dict[int, int], capacity: int, enough: int) -> tuple[dict[tuple[tuple[int, int], ...], float], float]:
+    """How often the program uses each pattern so that every length is covered, and a lower bound.
+
+    Ends early if the bound shows that ``enough`` containers are the fewest.
+    """
+    lengths = np.array(sorted(histogram), np.int64)
     counts = np.array([histogram[n] for n in lengths.tolist()], np.int64)
-    result, used = Plan(), {}
-    left = dict(zip(lengths.tolist(), counts.tolist()))
-    if lengths.size:
-        # a dual value of the program: worth its length until patterns have covered it
-        weight = np.ones(lengths.size)
-        usage: dict[tuple[tuple[int, int], ...], float] = {}
-        most = np.minimum(counts, capacity // lengths)
-        for _ in range(rounds):
-            pattern = best_pattern(lengths, lengths * weight, most, capacity)
-            if not pattern:
+    # a dual value of the program: worth its length, less as patterns cover it, nothing when covered
+    weight, covered = np.ones(lengths.size), np.zeros(lengths.size)
+    usage: dict[tuple[tuple[int, int], ...], float] = {}
+    most = np.minimum(counts, capacity // lengths)
+    bound, rounds = 0.0, 0
+    shuffled = np.random.default_rng(0).permutation(lengths.size)
+    while (open_ := np.flatnonzero(covered < 1 - 1e-9)).size:
+        whole = rounds % WHOLE == 0 or open_.size <= PRICED
+        if not whole:
+            open_ = np.sort(open_[np.lexsort((shuffled[open_], -weight[open_]))[:PRICED]])
+        rounds += 1
+        worth = lengths[open_] * weight[open_]
+        pattern = best_pattern(lengths[open_], worth, most[open_], capacity)
+        at = np.searchsorted(lengths, np.array(sorted(pattern), np.int64))
+        times = np.array([pattern[n] for n in lengths[at].tolist()], np.int64)
+        if whole:
+            # no pattern is worth more, so this many are needed for what all items are worth
+            bound = max(bound, float((worth * counts[open_]).sum() / (lengths[at] * weight[at] * times).sum()))
+            if np.ceil(bound - 1e-6) >= enough:
                 break
-            # as often as the scarcest of its lengths allows, a share per round
-            room = min(counts[np.searchsorted(lengths, n)] / m for n, m in pattern.items())
-            key = tuple(sorted(pattern.items()))
-            usage[key] = usage.get(key, 0.0) + room * step
-            for n, m in pattern.items():
-                i = int(np.searchsorted(lengths, n))
-                weight[i] *= np.exp(-step * m * room / counts[i])
-        # round down, best filled first, never using more than there is; patterns
-        # that leave over a fiftieth are better filled by best fit
-        filled = sorted(usage, key=lambda p: (-sum(n * m for n, m in p), p))
+        # as often as the scarcest of its lengths allows, a share per round
+        room = (counts[at] / times).min()
+        key = tuple(zip(lengths[at].tolist(), times.tolist()))
+        usage[key] = usage.get(key, 0.0) + room * STEP
+        covered[at] += STEP * times * room / counts[at]
+        weight[at] *= np.exp(-STEP * times * room / counts[at])
+    return usage, bound
+
+
+def _rounded(histogram: dict[int, int], capacity: int, usage: dict[tuple[tuple[int, int], ...], float]) -> Plan:
+    """The program's solution, rounded, and best fit for what it leaves."""
+    result, used, left = Plan(), {}, dict(histogram)
+    # best filled first, never using more than there is; patterns that leave over
+    # a fiftieth are better filled by best fit
+    filled = sorted((p for p in usage if sum(n * m for n, m in p) >= 0.98 * capacity), key=lambda p: (-sum(n * m for n, m in p), -usage[p], p))
+    for least in (0, 1):
         for pattern in filled:
-            copies = min(int(usage[pattern]), *(left[n] // m for n, m in pattern))
-            if copies > 0 and sum(n * m for n, m in pattern) >= 0.98 * capacity:
+            copies = min(1 if least else int(usage[pattern] + 1e-9), *(left[n] // m for n, m in pattern))
+            if copies > 0:
                 result.add(dict(pattern), copies, used)
                 for n, m in pattern:
                     left[n] -= m * copies
