@@ -150,3 +150,12 @@ def test_aligned(dialogues):
 def test_catalogue_has_sql_for_what_sql_can_say():
     assert set(catalogue.oracle_sql()) <= set(catalogue.queries())
     assert len(catalogue.oracle_sql()) >= 40
+
+
+def test_long_report_tables_are_never_cut_silently(spark, tmp_path):
+    forms = ", ".join(f"named_struct('form', 'f{i}', 'tier', 'lexicon', 'joints', 1)" for i in range(250))
+    repaired = spark.sql(f"SELECT named_struct('merges', array({forms}), 'residual', array('x y')) AS repair")
+    with pytest.raises(ValueError, match="Merged forms"):
+        reports.repair_report(repaired)
+    text = reports.repair_report(repaired, str(tmp_path))
+    assert "50 more rows" in text and spark.read.parquet(str(tmp_path / "merged_forms")).count() == 250

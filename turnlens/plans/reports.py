@@ -9,8 +9,8 @@ from ..operators import profile, quality, tokens
 from ..sources.sinks import markdown
 
 
-def _sections(parts: list[tuple[str, DataFrame | None]]) -> str:
-    return "\n".join(markdown(df, title) if df is not None else f"## {title}\n\nabsent\n" for title, df in parts)
+def _sections(parts: list[tuple[str, DataFrame | None]], beside: str | None = None) -> str:
+    return "\n".join(markdown(df, title, beside=beside) if df is not None else f"## {title}\n\nabsent\n" for title, df in parts)
 
 
 def analysis_report(dialogues: DataFrame) -> str:
@@ -51,8 +51,8 @@ def quality_report(dialogues: DataFrame, lines: DataFrame | None = None) -> str:
     )
 
 
-def repair_report(repaired: DataFrame) -> str:
-    """Of conjuncts.repaired: what was merged by tier and form, and what is left."""
+def repair_report(repaired: DataFrame, beside: str | None = None) -> str:
+    """Of conjuncts.repaired: what was merged by tier and form, and what is left; long tables whole under ``beside``."""
     merges = repaired.select(F.explode("repair.merges").alias("m")).select("m.*")
     left = repaired.select(F.explode("repair.residual").alias("pair"))
     return "# Conjunct repair\n\n" + _sections(
@@ -60,5 +60,6 @@ def repair_report(repaired: DataFrame) -> str:
             ("Tiers", merges.groupBy("tier").agg(F.sum("joints").alias("joints"), F.count("*").alias("forms")).orderBy("tier")),
             ("Merged forms", merges.groupBy("form", "tier").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "form")),
             ("Left", left.groupBy("pair").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "pair")),
-        ]
+        ],
+        beside,
     )

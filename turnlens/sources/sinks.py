@@ -50,9 +50,22 @@ def artifact(tables: dict[str, DataFrame]) -> str:
     return json.dumps(out, ensure_ascii=False, indent=2, default=str)
 
 
-def markdown(df: DataFrame, title: str, rows: int = 200) -> str:
-    """A heading and a table of at most ``rows`` rows; bars in cells are escaped."""
+def markdown(df: DataFrame, title: str, rows: int = 200, beside: str | None = None) -> str:
+    """A heading and a table; bars in cells are escaped.
+
+    A table of more than ``rows`` rows is written whole to a folder under
+    ``beside`` and the text says how many rows it leaves out; without ``beside``
+    it is refused.
+    """
     head = "| " + " | ".join(df.columns) + " |\n|" + "---|" * len(df.columns)
     cell = lambda v: "" if v is None else str(v).replace("|", r"\|").replace("\n", " ")
-    body = "\n".join("| " + " | ".join(cell(v) for v in r) + " |" for r in df.limit(rows).collect())
-    return f"## {title}\n\n{head}\n{body}\n"
+    found = df.limit(rows + 1).collect()
+    note = ""
+    if len(found) > rows:
+        if beside is None:
+            raise ValueError(f"{title} has more than {rows} rows; name a folder for the whole table")
+        path = f"{beside.rstrip('/')}/{title.lower().replace(' ', '_')}"
+        df.write.mode("errorifexists").parquet(path)
+        note = f"\n{df.sparkSession.read.parquet(path).count() - rows} more rows; all are in {path}\n"
+    body = "\n".join("| " + " | ".join(cell(v) for v in r) + " |" for r in found[:rows])
+    return f"## {title}\n\n{head}\n{body}\n{note}"
