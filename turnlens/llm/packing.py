@@ -4,11 +4,13 @@ Only the histogram of item lengths is packed, so the work on the driver does
 not depend on the number of items.  The configuration linear program - fewest
 containers whose patterns cover the histogram - is solved by multiplicative
 weights: every length has a weight, a knapsack over the capacity finds the
-pattern worth most, the pattern is used and the weights of what it covers
-fall, until every length is covered.  The solution is rounded down, then its
-patterns are used once more each while their items last; what remains is packed
-best fit decreasing, again by length and not by item.  The program is left out
-where best fit alone needs no more containers than any packing must.  Items get ordinals within their
+pattern worth most, the pattern is used and the weights of what it covers fall,
+until every length is covered.  Each round uses its pattern a share of the
+times its scarcest length allows, rounded to whole containers of what is left,
+so that the rounded solution holds every item once and nothing is lost by
+rounding at the end.  A round's knapsack looks at the lengths least covered and
+at a changing part of the others.  Should plain best fit decreasing need fewer
+containers, its packing is taken.  Items get ordinals within their
 length without gathering a length in one place, and an ordinal decides the
 container and position.
 
@@ -17,6 +19,7 @@ Texts longer than the capacity are split into full pieces and a rest.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -30,9 +33,8 @@ from ..sources.scratch import written
 
 #: Share of a pattern's scarcest length that a round of multiplicative weights covers.
 STEP = 0.25
-#: Lengths of a round's knapsack: those least covered.  Every so many rounds, and in
-#: the first, it has all lengths that are not covered, which also gives a bound.
-PRICED, WHOLE = 256, 1_000
+#: Lengths of a round's knapsack: those worth most, and as many others in turn.
+PRICED = 48
 
 
 @dataclass
@@ -70,8 +72,9 @@ class Plan:
 def best_pattern(lengths: np.ndarray, weights: np.ndarray, most: np.ndarray, capacity: int) -> dict[int, int]:
     """Knapsack by dynamic programming: the pattern of the greatest weight, with repeats up to ``most``.
 
-    Lengths are taken in rising order with multiplicities in powers of two,
-    which makes each step one array operation over the capacity.
+    Lengths are taken in turn with multiplicities in powers of two, which makes
+    each step one array operation over the capacity; what each step bettered is
+    kept as bits, to walk back from the best total.
     """
     value = np.zeros(capacity + 1)
     taken: list[tuple[int, int, np.ndarray]] = []
@@ -81,114 +84,80 @@ def best_pattern(lengths: np.ndarray, weights: np.ndarray, most: np.ndarray, cap
             k_now = min(k, left)
             size = k_now * length
             new = value[: capacity + 1 - size] + k_now * w
-            better = new > value[size:]
-            if better.any():
-                value[size:] = np.where(better, new, value[size:])
-                taken.append((length, k_now, np.concatenate((np.zeros(size, bool), better))))
+            taken.append((length, k_now, np.packbits(new > value[size:])))
+            np.maximum(value[size:], new, out=value[size:])
             left -= k_now
             k *= 2
     at = int(value.argmax())
     out: dict[int, int] = {}
     for length, k, better in reversed(taken):
-        if better[at]:
+        i = at - length * k
+        if i >= 0 and better[i >> 3] >> (7 - (i & 7)) & 1:
             out[length] = out.get(length, 0) + k
-            at -= length * k
+            at = i
     return out
 
 
 def plan(histogram: dict[int, int], capacity: int) -> Plan:
     """Pack ``histogram`` (items by length, lengths up to the capacity) into few containers.
 
-    Best fit, if a bound from the lengths or from the program shows that no
-    packing has fewer containers; else the better of it and the rounded program,
-    the program's if equal.
+    The program's packing, unless plain best fit needs fewer containers.
     """
     histogram = {n: c for n, c in histogram.items() if n > 0 and c > 0}
-    plain = Plan()
+    p, plain = Plan(), Plan()
     _best_fit(histogram, capacity, plain, {})
-    if plain.containers <= -(-sum(n * c for n, c in histogram.items()) // capacity):
-        return plain
-    usage, bound = solved(histogram, capacity, plain.containers)
-    if plain.containers <= np.ceil(bound - 1e-6):
-        return plain
-    p = _rounded(histogram, capacity, usage)
+    used: dict[int, int] = {}
+    for pattern, copies in solved(histogram, capacity):
+        p.add(pattern, copies, used)
     return p if p.containers <= plain.containers else plain
 
 
-def solved(histogram: dict[int, int], capacity: int, enough: int) -> tuple[dict[tuple[tuple[int, int], ...], float], float]:
-    """How often the program uses each pattern so that every length is covered, and a lower bound.
-
-    Ends early if the bound shows that ``enough`` containers are the fewest.
-    """
+def solved(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """The patterns of the program and how often each is used; together they hold every item once."""
     lengths = np.array(sorted(histogram), np.int64)
     counts = np.array([histogram[n] for n in lengths.tolist()], np.int64)
-    # a dual value of the program: worth its length, less as patterns cover it, nothing when covered
-    weight, covered = np.ones(lengths.size), np.zeros(lengths.size)
-    usage: dict[tuple[tuple[int, int], ...], float] = {}
-    most = np.minimum(counts, capacity // lengths)
-    bound, rounds = 0.0, 0
-    shuffled = np.random.default_rng(0).permutation(lengths.size)
-    while (open_ := np.flatnonzero(covered < 1 - 1e-9)).size:
-        whole = rounds % WHOLE == 0 or open_.size <= PRICED
-        if not whole:
-            open_ = np.sort(open_[np.lexsort((shuffled[open_], -weight[open_]))[:PRICED]])
-        rounds += 1
-        worth = lengths[open_] * weight[open_]
-        pattern = best_pattern(lengths[open_], worth, most[open_], capacity)
-        at = np.searchsorted(lengths, np.array(sorted(pattern), np.int64))
-        times = np.array([pattern[n] for n in lengths[at].tolist()], np.int64)
-        if whole:
-            # no pattern is worth more, so this many are needed for what all items are worth
-            bound = max(bound, float((worth * counts[open_]).sum() / (lengths[at] * weight[at] * times).sum()))
-            if np.ceil(bound - 1e-6) >= enough:
-                break
-        # as often as the scarcest of its lengths allows, a share per round
-        room = (counts[at] / times).min()
-        key = tuple(zip(lengths[at].tolist(), times.tolist()))
-        usage[key] = usage.get(key, 0.0) + room * STEP
-        covered[at] += STEP * times * room / counts[at]
-        weight[at] *= np.exp(-STEP * times * room / counts[at])
-    return usage, bound
-
-
-def _rounded(histogram: dict[int, int], capacity: int, usage: dict[tuple[tuple[int, int], ...], float]) -> Plan:
-    """The program's solution, rounded, and best fit for what it leaves."""
-    result, used, left = Plan(), {}, dict(histogram)
-    # best filled first, never using more than there is; patterns that leave over
-    # a fiftieth are better filled by best fit
-    filled = sorted((p for p in usage if sum(n * m for n, m in p) >= 0.98 * capacity), key=lambda p: (-sum(n * m for n, m in p), -usage[p], p))
-    for least in (0, 1):
-        for pattern in filled:
-            copies = min(1 if least else int(usage[pattern] + 1e-9), *(left[n] // m for n, m in pattern))
-            if copies > 0:
-                result.add(dict(pattern), copies, used)
-                for n, m in pattern:
-                    left[n] -= m * copies
-    _best_fit(left, capacity, result, used)
-    return result
-
-
-def _best_fit(left: dict[int, int], capacity: int, result: Plan, used: dict[int, int]) -> None:
+    left = counts.copy()
+    # a dual value per length: an item is worth its share of a container, less as its length is covered
+    weight = np.ones(lengths.size)
+    out: list[tuple[dict[int, int], int]] = []
+    turn = 0
+    while (open_ := np.flatnonzero(left)).size:
+        if open_.size > PRICED:
+            # the lengths least covered, long ones first, and others taken in turn
+            half = PRICED // 2
+            first = np.lexsort((-lengths[open_], -weight[open_]))[:half]
+            others = np.setdiff1d(np.arange(open_.size), first, assume_unique=True)
+            stride = -(-others.size // half)
+            open_ = open_[np.sort(np.concatenate((first, others[turn % stride :: stride])))]
+            turn += 1
+        pattern = best_pattern(lengths[open_], lengths[open_] * weight[open_], np.minimum(left[open_], capacity // lengths[open_]), capacity)
+        at = np.searchsorted(lengths, np.fromiter(pattern, np.int64))
+        times = np.fromiter(pattern.values(), np.int64)
+        # a share of its scarcest length, in whole containers, while its items last
+        copies = max(1, min(int((counts[at] // times).min() * STEP), int((left[at] // times).min())))
+        out.append((pattern, copies))
+        left[at] -= times * copies
+        weight[at] *= np.exp(-STEP * times * copies / counts[at])
+    return out
+
+
+def _best_fit(stock: dict[int, int], capacity: int, result: Plan, used: dict[int, int]) -> None:
     """Fill containers one pattern at a time: longest first, then the longest that still fits."""
-    stock = {n: c for n, c in left.items() if c > 0}
-    order = sorted(stock, reverse=True)
-    while stock:
-        room, pattern = capacity, {}
-        for n in order:
-            if n > room or not stock.get(n):
-                continue
-            m = min(room // n, stock[n])
-            pattern[n] = m
+    stock = dict(stock)
+    rising = sorted(stock)
+    while rising:
+        room, pattern, i = capacity, {}, len(rising)
+        while room and (i := bisect_right(rising, room, 0, i)):
+            n = rising[i - 1]
+            pattern[n] = m = min(room // n, stock[n])
             room -= n * m
-            if not room:
-                break
+            i -= 1
         copies = min(stock[n] // m for n, m in pattern.items())
         result.add(pattern, copies, used)
         for n, m in pattern.items():
             stock[n] -= m * copies
             if not stock[n]:
-                del stock[n]
-        order = [n for n in order if n in stock]
+                del rising[bisect_left(rising, n)]
 
 
 def pack(sized: DataFrame, capacity: int, id_col: str = "doc_id") -> DataFrame:
