@@ -10,7 +10,8 @@ times its scarcest length allows, rounded to whole containers of what is left,
 so that the rounded solution holds every item once and nothing is lost by
 rounding at the end.  A round's knapsack looks at the lengths least covered and
 at a changing part of the others.  Should plain best fit decreasing need fewer
-containers, its packing is taken.  Items get ordinals within their
+containers, the program is solved again with dearer lengths where containers
+were badly filled, and only if that does not help best fit's packing is taken.  Items get ordinals within their
 length without gathering a length in one place, and an ordinal decides the
 container and position.
 
@@ -35,6 +36,8 @@ from ..sources.scratch import written
 STEP = 0.25
 #: Lengths of a round's knapsack: those worth most, and as many others in turn.
 PRICED = 48
+#: Runs of the program, at most, and the power of a length's price in the one before that it begins with.
+PASSES, RAISED = 4, 0.5
 
 
 @dataclass
@@ -104,21 +107,47 @@ def plan(histogram: dict[int, int], capacity: int) -> Plan:
     The program's packing, unless plain best fit needs fewer containers.
     """
     histogram = {n: c for n, c in histogram.items() if n > 0 and c > 0}
-    p, plain = Plan(), Plan()
+    plain = Plan()
     _best_fit(histogram, capacity, plain, {})
-    used: dict[int, int] = {}
-    for pattern, copies in solved(histogram, capacity):
+    usage = solved(histogram, capacity, plain.containers)
+    if sum(copies for _, copies in usage) > plain.containers:
+        return plain
+    p, used = Plan(), {}
+    for pattern, copies in usage:
         p.add(pattern, copies, used)
-    return p if p.containers <= plain.containers else plain
+    return p
 
 
-def solved(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
-    """The patterns of the program and how often each is used; together they hold every item once."""
+def solved(histogram: dict[int, int], capacity: int, enough: int) -> list[tuple[dict[int, int], int]]:
+    """The patterns of the program and how often each is used; together they hold every item once.
+
+    While they are more than ``enough``, lengths that were left to badly filled
+    containers are worth more from the start and the program is solved anew.
+    """
+    value = dict.fromkeys(histogram, 1.0)
+    best: list[tuple[dict[int, int], int]] = []
+    for _ in range(PASSES):
+        usage = _covered(histogram, capacity, value)
+        if not best or sum(c for _, c in usage) < sum(c for _, c in best):
+            best = usage
+        if sum(c for _, c in best) <= enough:
+            break
+        price = dict.fromkeys(histogram, 0.0)
+        for pattern, copies in usage:
+            fill = sum(n * m for n, m in pattern.items()) / capacity
+            for n, m in pattern.items():
+                price[n] += copies * m / fill
+        value = {n: value[n] * (x / histogram[n]) ** RAISED for n, x in price.items()}
+    return best
+
+
+def _covered(histogram: dict[int, int], capacity: int, value: dict[int, float]) -> list[tuple[dict[int, int], int]]:
+    """One run of the program, from lengths of this ``value`` for their share of a container."""
     lengths = np.array(sorted(histogram), np.int64)
     counts = np.array([histogram[n] for n in lengths.tolist()], np.int64)
     left = counts.copy()
     # a dual value per length: an item is worth its share of a container, less as its length is covered
-    weight = np.ones(lengths.size)
+    weight = np.array([value[n] for n in lengths.tolist()])
     out: list[tuple[dict[int, int], int]] = []
     turn = 0
     while (open_ := np.flatnonzero(left)).size:
