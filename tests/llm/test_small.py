@@ -80,6 +80,7 @@ def test_repetition_against_brute_force():
 
 def test_decision_list_finds_the_repetitive_and_nothing_else(spark):
     rows = [dialogue(10, [("a b c d e f g h i j", U), ("a b c d e a b c d e", A), ("a b c d e f g h i j a b c d e x y z", A)]), *ODD]
+    assert "share" not in repetition.STATS
     out = {(r["record_id"], r["turn"]): r for r in repetition.repetition(make(spark, rows)).collect()}
     assert [out[10, k]["repetitive"] for k in range(3)] == [False, True, False]
     assert out[10, 1]["share"] == 0.5 and out[903, 0]["n_words"] == 0
@@ -92,10 +93,17 @@ def test_sequential_covering_learns_a_conjunction():
     y = (x[:, 0] >= 0.6) & (x[:, 1] <= 0.5)
     rules = repetition.learn(x, y)
     got = np.any([repetition._covers(r, x) for r in rules], axis=0)
-    assert (got == y).mean() > 0.98
+    assert got[y].all() and y[got].mean() > 0.95 and max(map(len, rules)) > 1
     assert repetition.learn(x, np.zeros(2000, bool)) == []
 
 
+def test_the_list_finds_held_out_repetition():
+    x, y = repetition.labelled()
+    rules = repetition.learn(x[::2], y[::2])
+    got = np.any([repetition._covers(r, x[1::2]) for r in rules], axis=0)
+    assert got[y[1::2]].mean() > 0.99 and y[1::2][got].mean() > 0.5
+
+
 # --- unification --------------------------------------------------------------
 
 
@@ -381,24 +389,38 @@ def test_plan_is_near_the_bound():
         assert len(fill) <= max(1.01 * bound, sum(c for n, c in histogram.items() if 2 * n > cap) * 1.03)
 
 
-def test_the_program_covers_every_length_and_does_the_packing(monkeypatch):
+@pytest.mark.parametrize("copies", [1, 40, 1000])
+def test_the_program_packs_every_item_once_and_no_worse_than_best_fit(copies):
     rng = random.Random(17)
     histogram: dict[int, int] = {}
     for _ in range(1500):
-        n = rng.randint(150, 1000)
-        histogram[n] = histogram.get(n, 0) + 1
-    usage, bound = packing.solved(histogram, 1500, 10**9)
-    met = dict.fromkeys(histogram, 0.0)
-    for pattern, x in usage.items():
-        assert sum(n * m for n, m in pattern) <= 1500
-        for n, m in pattern:
+        n = rng.randint(20, 1000)
+        histogram[n] = histogram.get(n, 0) + copies
+    met = dict.fromkeys(histogram, 0)
+    plain = packing.Plan()
+    packing._best_fit(histogram, 1500, plain, {})
+    usage = packing.solved(histogram, 1500, plain.containers)
+    for pattern, x in usage:
+        assert sum(n * m for n, m in pattern.items()) <= 1500
+        for n, m in pattern.items():
             met[n] += m * x
-    assert all(met[n] >= c - 1e-6 for n, c in histogram.items()) and bound <= sum(usage.values()) + 1e-6
-    rest = []
-    fit = packing._best_fit
-    monkeypatch.setattr(packing, "_best_fit", lambda left, *x: (rest.append(sum(n * c for n, c in left.items())), fit(left, *x)))
-    packing._rounded(histogram, 1500, usage)
-    assert rest[-1] < 0.3 * sum(n * c for n, c in histogram.items())
+    assert met == histogram
+    assert sum(x for _, x in usage) <= plain.containers and packing.plan(histogram, 1500).containers == sum(x for _, x in usage)
+
+
+def test_knapsack_against_brute_force():
+    rng = random.Random(18)
+    for _ in range(60):
+        lengths = sorted(rng.sample(range(1, 12), 4))
+        worth = [rng.random() for _ in lengths]
+        most = [rng.randint(1, 5) for _ in lengths]
+        got = packing.best_pattern(np.array(lengths), np.array(worth), np.array(most), 20)
+        options = [()]
+        for m in most:
+            options = [o + (k,) for o in options for k in range(m + 1)]
+        best = max(sum(k * w for k, w in zip(o, worth)) for o in options if sum(k * n for k, n in zip(o, lengths)) <= 20)
+        assert all(got.get(n, 0) <= m for n, m in zip(lengths, most)) and sum(n * k for n, k in got.items()) <= 20
+        assert abs(sum(worth[lengths.index(n)] * k for n, k in got.items()) - best) < 1e-9
 
 
 def test_pack(spark):
@@ -443,8 +465,9 @@ def test_passages_against_brute_force(spark):
     grams = {i: {tuple(words(t)[k : k + 12]) for k in range(len(words(t)) - 11)} for i, t in items}
     want = {(d, i) for d, t, _ in docs for i in grams for k in range(len(words(t)) - 11) if tuple(words(t)[k : k + 12]) in grams[i]}
     df, it = spark.createDataFrame(docs, "doc_id long, text string, item_id int"), spark.createDataFrame(items, "item_id long, text string")
-    got = {(r["doc_id"], r["item_id"]) for r in passages.leaks(df, it).collect()}
+    got = {(r["doc_id"], r["item_id"]) for r in passages.leaks(df, it).filter("words >= 12").collect()}
     assert got == want and want
+    assert {(r["doc_id"], r["item_id"]) for r in passages.leaks(df, it, edits=0).collect()} == want
     assert passages.leaks(df.filter("doc_id < 0"), it).count() == 0 and passages.leaks(df, it.filter("item_id < 0")).count() == 0
 
 
@@ -461,6 +484,48 @@ def test_the_longest_of_several_runs_counts(spark):
     assert {r["doc_id"]: r["words"] for r in passages.leaks(df, it).collect()} == {1: 30, 2: 60, 3: 30}
 
 
+def edit_distance_inside(pattern, text):
+    """Fewest edits between ``pattern`` and any stretch of ``text``."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(pattern, 1):
+        new = [i]
+        for j, x in enumerate(text, 1):
+            new.append(min(row[j - 1] + (c != x), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+@pytest.mark.parametrize("edits", [1, 2, 3])
+def test_passages_within_the_edit_budget_against_brute_force(edits):
+    rng = random.Random(20 + edits)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8)))
+    items = [" ".join(word() for _ in range(rng.randint(12, 16))) for _ in range(12)]
+    docs = []
+    for k in range(60):
+        t = items[k % 12]
+        for _ in range(rng.randint(0, edits + 1)):
+            at = rng.randrange(1, len(t))
+            t = rng.choice([t[:at] + rng.choice("abcdefgh") + t[at:], t[:at] + t[at + 1 :], t[: at - 1] + t[at : at + 1] + t[at - 1 : at] + t[at + 1 :]])
+        docs.append(" ".join(word() for _ in range(10)) + " " + t + " " + " ".join(word() for _ in range(10)))
+    index = passages.ItemIndex(list(range(12)), items, edits=edits)
+    got = {(d, i): (w, m) for d, i, w, m in index.search(passages.reduce(docs, index.q))}
+    want = set()
+    for d, t in enumerate(docs):
+        for i, item in enumerate(items):
+            w = item.split()
+            if any(edit_distance_inside("".join(w[k : k + 12]), t.replace(" ", "")) <= edits for k in range(len(w) - 11)):
+                want.add((d, i))
+    assert set(got) == want and any(w < 12 for w, _ in got.values())
+
+
+def test_edited_passages(spark):
+    item = "the quiet ferry captain measures an old bridge for seven days before harvest"  # 13 words
+    docs = [(1, "So " + item.replace("ferry", "fery") + " now"), (2, item.replace("captain", "cpatain")), (3, item), (4, item.replace("bridge", "canal")), (5, None)]
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, item)], "item_id long, text string")
+    near = lambda e: {r["doc_id"]: (r["words"], r["near_words"]) for r in passages.leaks(df, it, edits=e).collect()}
+    assert near(1) == {1: (10, 13), 3: (13, 13)} and set(near(2)) == {1, 2, 3} and set(near(0)) == {3}
+
+
 # --- personal -----------------------------------------------------------------
 
 

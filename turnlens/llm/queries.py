@@ -108,18 +108,17 @@ def p6_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns of which at least 40 % is repeated: judged by the decision list, then checked exactly."""
-    from .repetition import SHARE, repetition
+    """Turns of which at least 40 % is repeated: suspected by the decision list, then checked exactly."""
+    from .repetition import repetition
 
-    out = repetition(_read(spark, sf_dir, "dialogues"))
-    return out.filter(F.col("repetitive") & (F.col("share") >= SHARE)).select("record_id", "turn").distinct()
+    return repetition(_read(spark, sf_dir, "dialogues")).filter("repetitive").select("record_id", "turn").distinct()
 
 
 def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The repeated share of every turn."""
     from .repetition import repetition
 
-    return repetition(_read(spark, sf_dir, "dialogues")).select("record_id", "turn", "n_words", "share", "repetitive")
+    return repetition(_read(spark, sf_dir, "dialogues")).select("record_id", "turn", "n_words", "share", "rule", "repetitive")
 
 
 def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,17 +137,19 @@ def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents holding at least twelve words in a row of a benchmark item."""
-    from .passages import leaks
+    from .passages import RUN, leaks
 
-    return leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).select("doc_id", "item_id")
+    return leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).filter(F.col("words") >= RUN).select("doc_id", "item_id")
 
 
 def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which test items leaked, into how many documents and how far."""
-    from .passages import leaks
+    """Which test items leaked, into how many documents unchanged and within the edit budget, and how far."""
+    from .passages import RUN, leaks
 
     out = leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
-    return out.groupBy("item_id").agg(F.count("*").alias("documents"), F.max("words").alias("longest_run"))
+    return out.groupBy("item_id").agg(
+        F.count_if(F.col("words") >= RUN).alias("documents"), F.count("*").alias("near_documents"), F.max("words").alias("longest_run"), F.max("near_words").alias("longest_near_run")
+    )
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
