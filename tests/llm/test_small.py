@@ -309,7 +309,10 @@ def test_defects(spark, classifier):
     q, en = "What about the old modem near the bridge and the ferry captain?", SAMPLES["en"]
     cases = [("", "empty"), ("…", "empty"), ("N/A", "empty"), (None, "empty"), ("​", "empty"), (q, "copy"), (q.upper(), "copy"), ("Question: " + q, "copy"), (SAMPLES["fr"] * 2, "other_language"),
              (en + " The ferry captain kindly returns the old mo", "truncated"), (en + " The ferry captain kindly returns the old,", "truncated"), (en + "\n```\nx = 1", "truncated"), ("I'm sorry, but I can't help with that request.", "refusal"),
-             (en + " " + en, None), (q + " " + en, None), (en + "\n1. the old modem\n2. the bridge", None)]
+             (en + " " + en, None), (q + " " + en, None), (en + "\n1. the old modem\n2. the bridge", None),
+             # no length decides: a long refusal, a long list item, a short answer in another language, a long stand-in
+             ("I regret that I can offer no help here. " + "This is outside of what I may talk about, and the rules I follow do not let me say anything on it. " * 3 + "I choose not to respond.", "refusal"),
+             (en + "\n1. the old modem\n2. " + "the bridge near the old modem and the ferry captain " * 100, None), ("Muchísimas gracias, señores.", "other_language"), ("No answer provided, response missing. " * 3, "empty")]
     rows = [dialogue(i, [(q, U), (a, A)]) for i, (a, _) in enumerate(cases)]
     rows.append(dialogue(90, [("Say it in French: " + q, U), (SAMPLES["fr"], A), ("", A)]))
     got = {(r["record_id"], r["turn"]): r["defect"] for r in pairs.defects(make(spark, rows + ODD[1:4]), classifier).collect()}
