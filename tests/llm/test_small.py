@@ -360,7 +360,9 @@ def test_public_tokenizer_counts_are_exact():
     rng = random.Random(9)
     for t in ["", " ", "  ", "a  b ", "x\n\n  y", "▁a ▁", *("".join(rng.choice("ab é\nක.  ") for _ in range(60)) for _ in range(80))]:
         assert counter.count(t) == len(sp.encode(t)), repr(t)
-        assert sum(counter.count(c, i == 0) for i, c in enumerate(tokens._chunks(t, 7))) == len(sp.encode(t)), repr(t)
+        for size in (1, 7):
+            parts = counter.bounds.chunks(t, size)
+            assert "".join(x for _, x in parts) == t and sum(counter.count(x, c) for c, x in parts) == len(sp.encode(t)), repr(t)
 
 
 def test_long_texts_are_counted_in_chunks(spark, monkeypatch, model):
@@ -369,8 +371,32 @@ def test_long_texts_are_counted_in_chunks(spark, monkeypatch, model):
     rows = [dialogue(1, [("a b " * 100, U), ("a", A)]), *ODD[1:4]]
     got = {(r["record_id"], r["role"]): r["tokens"] for r in tokens.dialogue_tokens(make(spark, rows), vocab, model).collect()}
     assert got[1, U] == 200 and got[1, A] == 1 and got[903, None] == 0
-    total = tokens.budget(tokens.dialogue_tokens(make(spark, rows), vocab, model)).filter("level = 0").first()
-    assert total["tokens"] == sum(got.values())
+    table = tokens.budget(tokens.token_rows(make(spark, rows), vocab, model)).collect()
+    assert {r["kept"] for r in table} == {",".join(k for i, k in enumerate(tokens.KEYS) if m >> i & 1) for m in range(16)}
+    for kept in {r["kept"] for r in table}:
+        assert sum(r["tokens"] for r in table if r["kept"] == kept) == sum(got.values())
+        assert sum(r["dialogue_roles"] for r in table if r["kept"] == kept) == len(got)
+
+
+def test_texts_are_cut_only_where_it_is_proved():
+    rng = random.Random(21)
+    cases = [
+        [("▁", -1.0), ("▁a", -1.2), ("a", -2.0), ("b", -2.0), ("ab", -2.5), ("▁ab", -2.0), ("c", -3.0), ("\n", -3.0)],
+        [("▁", -1.0), ("a", -2.0), ("a▁b", -0.5), ("b", -2.0), ("ba", -2.5)],  # a piece spans a word's start
+        [("a", -1.0), ("xy", -1.0), ("yy", -2.0)],  # unknown characters
+    ]
+    cut = 0
+    for pieces in cases:
+        counter = tokens.PieceList(pieces)
+        for _ in range(150):
+            t = "".join(rng.choice("aabbc x\ny ") for _ in range(rng.randint(0, 40)))
+            parts = counter.bounds.chunks(t, 5)
+            cut += len(parts) > 1
+            assert "".join(x for _, x in parts) == t and sum(counter.count(x, c) for c, x in parts) == counter.count(t), (pieces, t)
+    assert cut > 100
+    assert tokens.PieceList([("ab", -1.0), ("ba", -1.0), ("a", -1.0), ("b", -1.0)]).bounds.chunks("ab" * 5000, 10) == [("", "ab" * 5000)]
+    long = tokens.PieceList([("你", -1.0), ("好", -1.0), ("▁", -1.0)])  # no spaces at all
+    assert len(long.bounds.chunks("你好" * 5000, 100)) == 100 and sum(long.count(x, c) for c, x in long.bounds.chunks("你好" * 5000, 100)) == long.count("你好" * 5000)
 
 
 def test_plan_is_near_the_bound():

@@ -94,10 +94,10 @@ def p5_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens under the project's pieces by source, language, domain and role, with roll-ups."""
-    from .tokens import budget, dialogue_tokens
+    """Tokens under the project's pieces by source, language, domain and role, and by every choice of them."""
+    from .tokens import budget, token_rows
 
-    return budget(dialogue_tokens(_read(spark, sf_dir, "dialogues"), _read(spark, sf_dir, "vocab")))
+    return budget(token_rows(_read(spark, sf_dir, "dialogues"), _read(spark, sf_dir, "vocab")))
 
 
 def p6_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,11 +125,10 @@ def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in containers of each capacity of context_windows."""
     from functools import reduce
 
-    from ..sources.scratch import written
     from .packing import pack
     from .tokens import public_model, sizes
 
-    sized = written(sizes(_read(spark, sf_dir, "documents").select("doc_id", "text"), public_model(spark), ["doc_id"]), "sizes")
+    sized = sizes(_read(spark, sf_dir, "documents").select("doc_id", "text"), public_model(spark), "doc_id")
     windows = _read(spark, sf_dir, "context_windows").filter("capacity > 0").orderBy("window_id").collect()  # a row per capacity
     parts = [pack(sized, int(w["capacity"])).select(F.lit(w["window_id"]).alias("window_id"), "*") for w in windows]
     return reduce(DataFrame.unionByName, parts)

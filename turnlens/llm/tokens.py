@@ -2,12 +2,13 @@
 
 Two tokenizers are counted: the project's own piece list (the segmentation of
 the highest total score, as a unigram tokenizer has it) and public BPE models.
-Both work on words that begin with a word mark, and no piece of either holds
-the mark after another character - which is proved on the piece list before
-anything is cut.  No token can then reach across the start of a word, so the
-count of a text is the sum over its words, words are counted once per distinct
-word and worker, and texts over ``CHUNK`` characters are cut before a word
-into chunks that are salted across the workers and summed per text.
+Texts over ``CHUNK`` characters are cut, but only between two characters that
+no token can hold side by side, which is proved on the piece list: at a word's
+start if no piece holds the word mark after another character, and elsewhere
+between characters that stand side by side in no piece.  A text in which no
+such place is proved stays whole, whatever its length.  The count of a text is
+then the sum over its chunks, which are salted across the workers; inside a
+chunk words are counted once per distinct word and worker.
 """
 
 from __future__ import annotations
@@ -17,9 +18,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
 from . import kernels as K
 from .languages import LANGS, LanguageModel, fit_on, segment
 
@@ -39,18 +42,55 @@ def independent(pieces: list[str]) -> bool:
     return not any(MARK in p.lstrip(MARK) for p in pieces)
 
 
+class Bounds:
+    """The places at which a list of pieces lets a text be cut without changing its tokens.
+
+    The word mark stands for ``spaces``.
+    """
+
+    def __init__(self, pieces: list[str], spaces: Callable[[str], bool]):
+        self.spaces, self.words = spaces, independent(pieces)
+        self.pairs = {p[i : i + 2] for p in pieces for i in range(len(p) - 1)}
+        self.single = {p for p in pieces if len(p) == 1}
+
+    def safe(self, before: str, after: str) -> bool:
+        """Is every token on one side of the place between these two characters?
+
+        Unknown characters in a row are one token, so one of the two must be known.
+        """
+        if before == MARK or after == MARK or self.spaces(before):
+            return False
+        if self.spaces(after):
+            return self.words
+        return before + after not in self.pairs and (before in self.single or after in self.single)
+
+    def chunks(self, text: str, size: int) -> list[tuple[str, str]]:
+        """(character before, chunk): pieces of about ``size`` characters or up to the next proved place."""
+        out, at = [], 0
+        while len(text) - at > size:
+            cut = at + size
+            while cut < len(text) and not self.safe(text[cut - 1], text[cut]):
+                cut += 1
+            out.append((text[at - 1 : at], text[at:cut]))
+            at = cut
+        if at < len(text) or not out:
+            out.append((text[at - 1 : at] if at else "", text[at:]))
+        return out
+
+
 class PieceList:
     """Counts under a list of scored pieces: the segmentation of the highest score.
 
-    A character that no piece covers costs ten less than the worst score;
-    such characters in a row are one unknown token.
+    Words are stretches between white space.  A character that no piece covers
+    costs ten less than the worst score; such characters in a row are one
+    unknown token.
     """
 
     def __init__(self, pieces: list[tuple[str, float]]):
         self.score = {p: s for p, s in pieces if p not in SPECIAL}
         self.longest = max(map(len, self.score), default=1)
         self.unknown = min(self.score.values(), default=0.0) - 10
-        self.cuts = independent(list(self.score))
+        self.bounds = Bounds(list(self.score), str.isspace)
         self.seen: dict[str, int] = {}
 
     def _best(self, text: str) -> int:
@@ -72,24 +112,25 @@ class PieceList:
             was_unknown = unknown
         return count
 
-    def count(self, text: str) -> int:
+    def count(self, text: str, before: str = "") -> int:
+        """Tokens of a text, or of a chunk of one after the character ``before``."""
         words = text.split()
-        if not self.cuts:
-            return self._best("".join(MARK + w for w in words))
+        inside = bool(before) and not before.isspace() and bool(text) and not text[0].isspace()
+        if not self.bounds.words:
+            return self._best(("" if inside else MARK) + MARK.join(words)) if words else 0
         total = 0
-        for w in words:
-            n = self.seen.get(w)
+        for k, w in enumerate(words):
+            form = w if inside and not k else MARK + w
+            n = self.seen.get(form)
             if n is None:
                 if len(self.seen) > REMEMBERED:
                     self.seen.clear()
-                n = self.seen[w] = self._best(MARK + w)
+                n = self._best(form)
+                if len(form) < CHUNK:
+                    self.seen[form] = n
             total += n
         return total
 
-    @staticmethod
-    def chunks(text: str, size: int) -> list[str]:
-        return _chunks(text, size)
-
 
 class PublicBPE:
     """Counts under a sentencepiece model, word by word."""
@@ -98,7 +139,7 @@ class PublicBPE:
 
     def __init__(self, model: bytes):
         self.model = model
-        self._sp = None
+        self._sp = self._bounds = None
         self.seen: dict[str, int] = {}
 
     def __getstate__(self):
@@ -113,48 +154,40 @@ class PublicBPE:
             import sentencepiece
 
             self._sp = sentencepiece.SentencePieceProcessor(model_proto=self.model)
-            self.cuts = independent([self._sp.id_to_piece(i) for i in range(self._sp.get_piece_size())])
         return self._sp
 
-    def count(self, text: str, first: bool = True) -> int:
-        """Tokens of a text; of a later chunk of one if not ``first``."""
-        sp = self.sp
+    @property
+    def bounds(self) -> Bounds:
+        if self._bounds is None:
+            self._bounds = Bounds([self.sp.id_to_piece(i) for i in range(self.sp.get_piece_size())], " ".__eq__)
+        return self._bounds
+
+    def _after(self, before: str, text: str) -> int:
+        """Tokens of a text after a character from which no token reaches into it."""
+        return len(self.sp.encode(before + text, num_threads=1)) - len(self.sp.encode(before, num_threads=1))
+
+    def count(self, text: str, before: str = "") -> int:
+        """Tokens of a text, or of a chunk of one after the character ``before``."""
         if not text:
             return 0
-        if not self.cuts or MARK in text or text.isspace():
-            return len(sp.encode(text, num_threads=1)) if first else self._after(text)
+        if not self.bounds.words or MARK in text or text.isspace():
+            return self._after(before, text) if before else len(self.sp.encode(text, num_threads=1))
         total = 0
         seen = self.seen
-        for unit in self._UNIT.findall(text):
-            if first:
-                total += len(sp.encode(unit, num_threads=1))
-                first = False
+        for k, unit in enumerate(self._UNIT.findall(text)):
+            if not k:
+                total += self._after(before, unit) if before else len(self.sp.encode(unit, num_threads=1))
                 continue
             n = seen.get(unit)
             if n is None:
                 if len(seen) > REMEMBERED:
                     seen.clear()
-                n = seen[unit] = self._after(unit)
+                n = self._after("a", unit)
+                if len(unit) < CHUNK:
+                    seen[unit] = n
             total += n
         return total
 
-    def _after(self, text: str) -> int:
-        """Tokens of a text that begins with a space, after another."""
-        return len(self.sp.encode("a" + text, num_threads=1)) - len(self.sp.encode("a", num_threads=1))
-
-
-def _chunks(text: str, size: int) -> list[str]:
-    """Cut before words that follow a space, each chunk of about ``size`` characters."""
-    out, at = [], 0
-    while len(text) - at > size:
-        cut = at + size
-        while cut < len(text) and not (text[cut] == " " and text[cut - 1] != " "):
-            cut += 1
-        out.append(text[at:cut])
-        at = cut
-    out.append(text[at:])
-    return out
-
 
 def vocabulary(vocab: DataFrame) -> PieceList:
     """The piece list of a table (piece, score); of fixed size, as every worker needs all of it."""
@@ -167,67 +200,57 @@ def public_model(spark: SparkSession, path: str = PUBLIC_MODEL) -> PublicBPE:
         return PublicBPE(f.read())
 
 
-def _cut_rows(df: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, chunk_no, chunk) of the oversized texts of ``df``."""
-    schema = df.select(*keys).schema
+def _columns(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def _counted_chunks(cut: DataFrame, counter: Broadcast, keys: list[str]) -> DataFrame:
+    """``keys`` and ``tokens`` of rows with a chunk and the character before it, salted across the workers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                parts = _chunks(batch.column(len(keys))[i].as_py(), CHUNK)
-                row = batch.slice(i, 1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.concat_arrays([row.column(k)] * len(parts)) for k in range(len(keys))] + [pa.array(range(len(parts)), pa.int32()), pa.array(parts)],
-                    [*keys, "chunk_no", "chunk"],
-                )
+        for b in batches:
+            n = [counter.value.count(t, c) for t, c in zip(b.column("chunk").to_pylist(), b.column("before").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keys)], pa.array(n, pa.int64())], [*keys, "tokens"])
 
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return df.select(*keys, "text").mapInArrow(run, f"{types}, chunk_no int, chunk string")
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.select(*keys).schema.fields)
+    return cut.select(*keys, "before", "chunk").repartition(F.xxhash64("chunk")).mapInArrow(run, f"{types}, tokens long")
 
 
-def sizes(texts: DataFrame, counter: PublicBPE | PieceList, keys: list[str]) -> DataFrame:
-    """``keys`` and ``tokens`` of each row's text; null and empty texts have none.
+def sizes(texts: DataFrame, counter: PublicBPE | PieceList, key: str) -> DataFrame:
+    """``key`` and ``tokens`` of each row's text; null and empty texts have none.
 
-    Keys should tell rows apart; the counts of rows that share them are summed.
+    One pass counts the usual texts and cuts the oversized ones, whose chunks
+    are counted apart and summed.  Keys should tell rows apart.
     """
     held = texts.sparkSession.sparkContext.broadcast(counter)
+    schema = pa.schema([(key, pa.int64()), ("tokens", pa.int64()), ("part", pa.int32()), ("before", pa.string()), ("chunk", pa.string())])
 
-    def count(s: pa.Array, number: pa.Array | None) -> pa.Array:
-        c = held.value
-        if isinstance(c, PublicBPE):
-            first = [True] * len(s) if number is None else [n == 0 for n in number.to_pylist()]
-            return pa.array([c.count(t or "", f) for t, f in zip(s.to_pylist(), first)], pa.int64())
-        return pa.array([c.count(t or "") for t in s.to_pylist()], pa.int64())
-
-    def per_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keys)], count(b.column("text"), None)], [*keys, "tokens"])
+            rows: list[tuple] = []
+            for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                parts = held.value.bounds.chunks(t, CHUNK) if t and len(t) > CHUNK else []
+                if len(parts) > 1:
+                    rows += [(k, None, i, c, x) for i, (c, x) in enumerate(parts)]
+                else:
+                    rows.append((k, held.value.count(t or ""), 0, None, None))
+            yield _columns(rows, schema)
 
-    def per_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keys)], count(b.column("chunk"), b.column("chunk_no"))], [*keys, "tokens"])
+    out = texts.select(F.col(key).cast("long").alias(key), "text").mapInArrow(run, f"`{key}` long, tokens long, part int, before string, chunk string")
+    out = written(out, "sizes")
+    large = _counted_chunks(out.filter("chunk IS NOT NULL"), held, [key]).groupBy(key).agg(F.sum("tokens").alias("tokens"))
+    return out.filter("chunk IS NULL").select(key, "tokens").unionByName(large)
 
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.select(*keys).schema.fields)
-    big = F.coalesce(F.length("text"), F.lit(0)) > CHUNK
-    usual = texts.select(*keys, "text").filter(~big).mapInArrow(per_row, f"{types}, tokens long")
-    salted = _cut_rows(texts.filter(big), keys).repartition(F.hash(*keys, "chunk_no"))
-    large = salted.mapInArrow(per_chunk, f"{types}, tokens long").groupBy(*keys).agg(F.sum("tokens").alias("tokens"))
-    return usual.unionByName(large)
 
+KEYS = ["source", "lang", "domain", "role"]
 
-def dialogue_tokens(dialogues: DataFrame, vocab: DataFrame, langs: LanguageModel | None = None) -> DataFrame:
-    """(record_id, source, lang, domain, role, turns, tokens): exact counts per dialogue and role.
 
-    ``lang`` is the language most words are in (null without words), whatever
-    the label says.  Null elements and contents have no tokens; a null role
-    stays null; dialogues without messages give no rows.  Turns over CHUNK
-    characters are counted chunk by chunk on several workers.
-    """
-    counter = vocabulary(vocab)
+def token_rows(dialogues: DataFrame, vocab: DataFrame, langs: LanguageModel | None = None) -> DataFrame:
+    """(record_id, source, lang, domain, role, turns, tokens): a row per dialogue and role, and one with 0 turns per chunk of an oversized turn."""
     spark = dialogues.sparkSession
-    held, model = spark.sparkContext.broadcast(counter), spark.sparkContext.broadcast(langs or fit_on(dialogues))
-    cols = ["record_id", "source", "lang", "domain", "role"]
-    out = "record_id long, source string, lang string, domain string, role string, turns long, tokens long"
+    held, model = spark.sparkContext.broadcast(vocabulary(vocab)), spark.sparkContext.broadcast(langs or fit_on(dialogues))
+    schema = pa.schema([("record_id", pa.int64()), *((k, pa.string()) for k in KEYS), ("turns", pa.int64()), ("tokens", pa.int64()), ("before", pa.string()), ("chunk", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -248,36 +271,42 @@ def dialogue_tokens(dialogues: DataFrame, vocab: DataFrame, langs: LanguageModel
                     for k in range(off[i], off[i + 1]):
                         t = total.setdefault(roles[k], [0, 0])
                         t[0] += 1
-                        if len(texts[k]) <= CHUNK:  # longer turns are counted apart
+                        parts = held.value.bounds.chunks(texts[k], CHUNK) if len(texts[k]) > CHUNK else []
+                        if len(parts) > 1:
+                            rows += [(ids[i], source[i], lang, domain[i], roles[k], 0, 0, c, x) for c, x in parts]
+                        else:
                             t[1] += held.value.count(texts[k])
-                    rows += [(ids[i], source[i], lang, domain[i], r, n, c) for r, (n, c) in total.items()]
-            names = [*cols, "turns", "tokens"]
-            columns = list(zip(*rows)) or [()] * len(names)
-            kinds = [pa.int64(), *[pa.string()] * 4, pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names)
-
-    small = dialogues.select("record_id", "source", "domain", "messages").mapInArrow(run, out)
-    long_turns = (
-        dialogues.select("record_id", F.posexplode("messages").alias("turn", "m"))
-        .select("record_id", "turn", F.col("m.role").alias("role"), F.col("m.content").alias("text"))
-        .filter(F.length("text") > CHUNK)
-    )
-    extra = sizes(long_turns, counter, ["record_id", "turn", "role"]).groupBy("record_id", "role").agg(F.sum("tokens").alias("more"))
-    e = extra.select(F.col("record_id").alias("e_id"), F.col("role").alias("e_role"), "more")
-    joined = small.join(e, (small["record_id"] == e["e_id"]) & small["role"].eqNullSafe(e["e_role"]), "left")
-    return joined.withColumn("tokens", F.col("tokens") + F.coalesce("more", F.lit(0))).select(*cols, "turns", "tokens")
+                    rows += [(ids[i], source[i], lang, domain[i], r, n, c, None, None) for r, (n, c) in total.items()]
+            yield _columns(rows, schema)
+
+    types = ", ".join(f"{f.name} {'string' if f.type == pa.string() else 'long'}" for f in schema)
+    out = written(dialogues.select("record_id", "source", "domain", "messages").mapInArrow(run, types), "tokens")
+    chunks = _counted_chunks(out.filter("chunk IS NOT NULL"), held, ["record_id", *KEYS, "turns"])
+    return out.filter("chunk IS NULL").select("record_id", *KEYS, "turns", "tokens").unionByName(chunks)
+
+
+def dialogue_tokens(dialogues: DataFrame, vocab: DataFrame, langs: LanguageModel | None = None) -> DataFrame:
+    """(record_id, source, lang, domain, role, turns, tokens): exact counts per dialogue and role.
+
+    ``lang`` is the language most words are in (null without words), whatever
+    the label says.  Null elements and contents have no tokens; a null role
+    stays null; dialogues without messages give no rows; rows that share an id,
+    slice and role are summed.
+    """
+    rows = token_rows(dialogues, vocab, langs)
+    return rows.groupBy("record_id", *KEYS).agg(F.sum("turns").alias("turns"), F.sum("tokens").alias("tokens"))
 
 
-def budget(counted: DataFrame) -> DataFrame:
-    """Totals of every slice by source, language, domain and role, and of every roll-up of them.
+def budget(rows: DataFrame) -> DataFrame:
+    """Totals for every choice of source, language, domain and role, each kept or rolled up.
 
-    ``level`` says how many of the four keep their value (4: the finest
-    slices, 0: everything); rolled-up columns are null.
+    ``kept`` names the columns that keep their value; the others are null.
+    ``dialogue_roles`` counts the roles of dialogues.
     """
-    keys = ["source", "lang", "domain", "role"]
-    return counted.rollup(*keys).agg(
-        (F.lit(4) - F.bit_count(F.grouping_id())).cast("int").alias("level"),
+    kept = F.concat_ws(",", *[F.when(F.grouping(k) == 0, k) for k in KEYS])
+    return rows.cube(*KEYS).agg(
+        kept.alias("kept"),
         F.sum("tokens").alias("tokens"),
         F.sum("turns").alias("turns"),
-        F.count("*").alias("dialogue_roles"),
+        F.count_if(F.col("turns") > 0).alias("dialogue_roles"),
     )
