@@ -127,6 +127,25 @@ def test_unify_leaves(t):
     assert unify.unify(t) == (t, False)
 
 
+@pytest.mark.parametrize(
+    "t",
+    [
+        "я и он, а у нас с отцом", "Она сама не своя, а у него все хорошо.", "То же самое: оно, сор, рот и тема.", "Το πρωί ο Νίκος και η Άννα πάνε στο χωριό.",
+        "ΤΟ ΝΕΟ ΒΙΒΛΙΟ ΤΗΣ ΑΝΝΑΣ", "Слово «сор» и the word", "λόγος, ο και το", "Հայերեն օր",
+    ],
+)
+def test_plain_paragraphs_of_other_scripts_stay(t):
+    assert unify.unify(t) == (t, False)
+
+
+def test_one_form_however_typed():
+    for a, b in (("а у нас рот", "a y нас poт"), ("the сор said", "the cop said"), ("оно", "oнo"), ("сор", "cop"), ("ꓢꓔꓳꓑ now", "STOP now"), ("ⲟⲣ else", "op else")):
+        assert unify.unify(a)[0] == unify.unify(b)[0]
+    split = "\u0bae\u0bc6\u0bbe"  # a Tamil vowel in two parts
+    assert unify.unify(split) == ("\u0bae\u0bca", True) and unify.suspects(kernels.Block([split])).all()
+    assert unify.unify("\u1112\u1161\u11ab")[0] == "한" and unify.suspects(kernels.Block(["\u1112\u1161\u11ab"])).all()
+
+
 def test_unify_turns(spark):
     rows = [dialogue(1, [("ａ", U), ("a", A), None, (None, A)]), *ODD[1:]]
     out = {(r["record_id"], r["turn"]): (r["unified"], r["affected"]) for r in unify.unify_turns(make(spark, rows)).collect()}

@@ -3,8 +3,12 @@
 Each token's characters are resolved to the sets of scripts they may belong to
 (a character of several scripts, or of none in particular, fits all).  If the
 intersection over the token is empty the token mixes scripts; if all its
-letters are look-alikes of another script it is a whole-script confusable.  In
-both cases the spelling in one script is selected.  What remains - wide forms,
+letters have look-alikes in another script it is a whole-script confusable.  In
+both cases the spelling in one script is selected: of a mixed token the script
+of the letters that have no look-alike, of a confusable one the script of the
+nearest tokens that are no confusables themselves, and Latin where they do not
+agree on another.  So one text has one form however it was typed, and plain
+Russian or Greek stays as it is.  What remains - wide forms,
 ligatures, separated marks, hidden characters, unusual spaces and look-alike
 punctuation - is normalised character by character.
 
@@ -33,8 +37,13 @@ CYRILLIC.pop("є")
 GREEK = dict(zip("ονανιρυχγκΑΒΕΖΗΙΚΜΝΟΡΤΥΧϲϳ", "ovavipuxykABEZHIKMNOPTYXcj"))
 ARMENIAN = dict(zip("օհոսցզՕՍՏԼ", "ohnugqOUSL"))
 CHEROKEE = dict(zip("ᎠᎡᎢᎪᎫᎳᎷᎻᏒᎬᏀᏃᏙᏚᏞᏟᏢᏦᏴ", "DRTAJWMHREGZVSLCPKB"))
+LISU = dict(zip("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU"))
+COPTIC = dict(zip("ⲂⲎⲒⲔⲘⲚⲞⲢⲤⲦⲨⲬⲟⲣⲥⲭ", "BHIKMNOPCTYXopcx"))
 STYLE = dict(zip("ɑɡɩʋᴄᴏᴠᴡᴢꜱᴜıȷ", "agivcovwzsuij"))
-LETTERS = CYRILLIC | GREEK | ARMENIAN | CHEROKEE | STYLE
+CYRILLIC["ѡ"] = "w"
+LETTERS = CYRILLIC | GREEK | ARMENIAN | CHEROKEE | {c.lower(): x.lower() for c, x in CHEROKEE.items()} | LISU | COPTIC | STYLE
+#: Plain letters that have a look-alike.
+_ALIKE = frozenset(LETTERS.values())
 # Punctuation and the plain sign it looks like.
 SIGNS = dict(zip("‐‑˗⁃−﹣۔․٠۰꞉∶ː˸։׃፡;⁄∕⧸∖⁎∗ǃ∣ǀ٫ꓸꓹ٪", "------....:::::::;///\\**!||,.,%"))
 #: Looks like a comma where a comma would stand; elsewhere a quotation mark.
@@ -46,8 +55,9 @@ EMOJI = regex.compile(r"[\p{Extended_Pictographic}\p{Emoji_Modifier}️\U0001F1E
 #: Characters that show nothing although they are not of category Cf.
 BLANKS = "͏ᅟᅠ឴឵᠋᠌᠍᠎ㅤﾠ⠀"
 
-_SCRIPTS = ("Latin", "Cyrillic", "Greek", "Armenian", "Cherokee", "Sinhala")
+_SCRIPTS = ("Latin", "Cyrillic", "Greek", "Armenian", "Cherokee", "Lisu", "Coptic", "Sinhala")
 _SCRIPT_RE = {s: regex.compile(rf"\p{{Script={s}}}") for s in _SCRIPTS}
+_CONFUSABLE = frozenset(_SCRIPTS) - {"Latin", "Sinhala"}
 _TOKEN = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
@@ -98,15 +108,25 @@ def _needed(text: str, i: int) -> bool:
     return False
 
 
+@lru_cache(maxsize=None)
+def _spelling(script: str) -> dict[str, str]:
+    """The letter of a script for each plain letter that has a look-alike there; the first of several."""
+    out: dict[str, str] = {}
+    for ch, plain in LETTERS.items():
+        if scripts(ch) == {script}:
+            out.setdefault(plain, ch)
+    return out
+
+
 def _spell(token: str) -> tuple[str, bool]:
-    """A token in one script, and whether it mixed scripts or styles."""
+    """A token in one script, and whether it mixed scripts or styles; confusable tokens are left."""
     shared: frozenset[str] | None = None
     alike = 0
     for ch in token:
         s = scripts(ch)
         shared = s if shared is None else shared & s
         alike += ch in LETTERS
-    if not alike:
+    if not alike and (shared or not any(ch in _ALIKE for ch in token)):
         return token, False
     letters = [ch for ch in token if unicodedata.category(ch)[0] == "L"]
     plain = "".join(LETTERS.get(ch, ch) for ch in token)
@@ -115,19 +135,54 @@ def _spell(token: str) -> tuple[str, bool]:
             styled = [ch for ch in letters if ch in STYLE]
             if 0 < len(styled) < len(letters) and any(ch.isascii() for ch in letters):
                 return plain, True
-            return token, False
-        # a whole-script confusable is spelt in Latin if every letter looks Latin
-        return (plain if all(ch in LETTERS for ch in letters) else token), False
-    target = [ch for ch in letters if ch not in LETTERS]
+        return token, False
+    target = [ch for ch in letters if ch not in LETTERS and ch not in _ALIKE]
     kinds = {k for ch in target for k in scripts(ch)}
     if not kinds or kinds == {"Latin"}:
         return plain, True
     if len(kinds) == 1:  # plain letters strayed into a word of another script
-        back = {v: k for k, v in LETTERS.items() if kinds <= scripts(k)}
-        other = "".join(back.get(LETTERS.get(ch, ch), ch) if not kinds <= scripts(ch) else ch for ch in token)
-        if other != token and len({k for ch in other for k in scripts(ch) if unicodedata.category(ch)[0] == "L"}) == 1:
+        (kind,) = kinds
+        other = "".join(ch if kind in scripts(ch) else _spelling(kind).get(LETTERS.get(ch, ch), ch) for ch in token)
+        if other != token and all(kind in scripts(ch) for ch in other):
             return other, True
-    return token, True
+    return token, alike > 0
+
+
+def _consistent(text: str) -> str:
+    """The text with confusable tokens in the script of the tokens around them."""
+    tokens = [(m.start(), m.group()) for m in _TOKEN.finditer(text)]
+    # a letter without look-alike settles a token's script
+    settled = [next((s for ch in t if ch not in LETTERS and not ch.isascii() for s in (scripts(ch),) if len(s) == 1 and not s & {"Latin", "other"}), None) for _, t in tokens]
+    there = {next(iter(s)) for s in settled if s}
+    plain = ["".join(LETTERS.get(ch, ch) for ch in t) for _, t in tokens]
+    kind: list[str | None] = []
+    for (_, token), s, p in zip(tokens, settled, plain):
+        if s:
+            kind.append(next(iter(s)))
+        elif p == token:  # without other scripts around, or letters they lack, it is what it is
+            kind.append(None if any(all(ch in _spelling(x) for ch in p) for x in there) else "Latin")
+        else:
+            kind.append(None if all(ch in LETTERS for ch in token if unicodedata.category(ch)[0] == "L") else "")
+    after: list[str | None] = []
+    near: str | None = None
+    for k in reversed(kind):
+        after.append(near)
+        near = near if k is None else k
+    out, at, before = [], 0, None
+    for (start, token), k, p, behind in zip(tokens, kind, plain, reversed(after)):
+        if k is not None:
+            before = k
+            continue
+        around = {s for s in (before, behind) if s is not None}
+        script = around.pop() if len(around) == 1 else "Latin"
+        spelt = p
+        if script in there and all(ch in _spelling(script) for ch in p):
+            # letters of the script that share a look-alike stay as they are
+            spelt = "".join(ch if script in scripts(ch) else _spelling(script)[x] for ch, x in zip(token, p))
+        if spelt != token:
+            out += [text[at:start], spelt]
+            at = start + len(token)
+    return "".join(out) + text[at:]
 
 
 def unify(text: str) -> tuple[str, bool]:
@@ -172,7 +227,18 @@ def unify(text: str) -> tuple[str, bool]:
         bad |= mixed
         return spelt
 
-    return _TOKEN.sub(one, composed), bad
+    return _consistent(_TOKEN.sub(one, composed)), bad
+
+
+@lru_cache(maxsize=1)
+def _joining() -> frozenset[int]:
+    """Code points that may form one character with what stands before them (normal form C not certain)."""
+    out = set(range(0x1161, 0x1176)) | set(range(0x11A8, 0x11C3))
+    for c in range(0xA0, 0x20000):
+        parts = unicodedata.decomposition(chr(c)).split()
+        if len(parts) == 2 and parts[0][0] != "<":
+            out.add(int(parts[1], 16))
+    return frozenset(out)
 
 
 SUSPECT = 1
@@ -189,8 +255,11 @@ def _suspect_of(c: int) -> int:
         or ch in SIGNS
         or ch == LOW_QUOTE
         or ch in LETTERS
+        or cat[0] == "L" and scripts(ch) <= _CONFUSABLE
         or plain_form(ch) is not None
-        or cat in ("Mn", "Mc", "Me") and not 0xD80 <= c <= 0xDFF and unicodedata.combining(ch) != 0
+        or cat[0] == "M" and not 0xD80 <= c <= 0xDFF and unicodedata.combining(ch) != 0
+        or c in _joining() and not 0xD80 <= c <= 0xDFF
+        or not unicodedata.is_normalized("NFC", ch)
         or cat[0] == "M" and 0x300 <= c < 0x370
     )
     return SUSPECT if odd else 0
