@@ -608,10 +608,30 @@ def test_names(spark):
     assert got == want
     clean = {r["doc_id"]: r["text"] for r in personal.sanitised(docs, names).collect()}
     assert clean[0] == "Please ask Ms [NAME] about it." and clean[23] is None and clean[24] == "" and "[STREET_ADDRESS]" in clean[16]
+    with pytest.MonkeyPatch.context() as m:  # beyond the bound spans are joined, with the same result
+        m.setattr(personal, "BROADCAST_TERMS", 0)
+        assert {r["doc_id"]: r["text"] for r in personal.sanitised(docs, names).collect()} == clean
     assert personal.findings(docs.filter("doc_id < 0"), names).count() == 0
     assert personal.findings(docs, names.filter("name = ''")).filter("kind = 'name'").count() == 0
 
 
+def test_contexts_decide_what_a_form_discloses(spark):
+    rng = random.Random(22)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    texts = [f"Please call {rng.choice(['me', 'us'])} on +1-{digits(3)}-{digits(3)}-{digits(4)} after lunch." for _ in range(60)]
+    texts += [f"Please call {rng.choice(['me', 'us'])} on ({digits(3)}) {digits(3)}-{digits(4)} after lunch." for _ in range(60)]
+    texts += [f"The batch was filed under article code {digits(4)}-{digits(6)} in spring." for _ in range(60)]
+    texts += [f"The batch was filed under article code {rng.choice(['202', '303', '414'])}.{digits(3)}.{digits(4)} in spring." for _ in range(60)]
+    texts += ["My passport is QX-104-616-G."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    names = spark.createDataFrame([], "name string, kind string")
+    got = personal.findings(docs, names).collect()
+    assert {r["doc_id"] for r in got if r["kind"] == "phone"} == set(range(120))  # ddd.ddd.dddd has a phone's form, but no phone's contexts
+    assert {r["value"] for r in got if r["kind"] == "id_number"} == {"QX-104-616-G"}  # one alone: its form decides
+    clean = {r["doc_id"]: r["text"] for r in personal.sanitised(docs, names).collect()}
+    assert clean[0].endswith("on [PHONE] after lunch.") and clean[200] == texts[200]
+
+
 def test_queries_are_whole_and_named():
     from turnlens.llm import queries
 

@@ -1,16 +1,27 @@
 """Problem 10: personal information inside free text.
 
-Values with a form of their own (email addresses, phone numbers, identity
-numbers, street addresses) are found by that form in one Arrow pass.  The same
-pass emits every pair of capitalised words that could be a person's name.
-Which terms are names is estimated from the corpus: a pair of a listed given
-and a listed family name is a protected entity; the word after it is a context
-that reveals entities if it follows them more often than chance; and a term is
-disclosing if, over all documents, the share of its pairs whose other half is
-a listed name in such a context exceeds ``DISCLOSURE`` - at least
-log2(DISCLOSURE / base rate) bits more than a random pair tells.  Listed and
-disclosing terms in the right places make a name, which is generalised to its
-placeholder.
+One Arrow pass proposes values: stretches that have the form of an email
+address, a phone number, an identity number or a street address, and pairs of
+capitalised words that could be a person's name.  What the corpus shows about
+them decides.
+
+Forms: a value's term is its form (digits and letters masked) or, of an
+address, the word for its kind of street.  The words before and after a value
+are its contexts.  A context tells log2(P(context | kind) / P(context | other
+numbers)) bits, estimated over all documents without the term's own
+occurrences; a term starts with ``PRIOR`` bits for having a known form, and is
+disclosing if what its occurrences' contexts tell leaves it above 0.  So the
+form of an order number that looks like a phone number is dropped where it
+stands in the contexts of order numbers.
+
+Names: a pair of a listed given and a listed family name is a protected entity;
+the word after it is a context that reveals entities if it follows them more
+often than chance; and a term is disclosing if, over all documents, the share
+of its pairs whose other half is a listed name in such a context exceeds
+``DISCLOSURE`` - at least log2(DISCLOSURE / base rate) bits more than a random
+pair tells.  Listed and disclosing terms in the right places make a name.
+
+Disclosing values are generalised to a placeholder of their kind.
 """
 
 from __future__ import annotations
@@ -30,6 +41,10 @@ from ..sources.scratch import written
 DISCLOSURE = 0.5
 #: Bits by which a context must raise the chance of an entity.
 CONTEXT_BITS = 0.0
+#: Bits a value has for its form before its contexts are heard.
+PRIOR = 8.0
+#: Terms of one sort that every worker may hold; beyond it they are joined.
+BROADCAST_TERMS = 200_000
 #: Times the disclosing terms are added to the known ones and the rest is judged anew.
 ROUNDS = 2
 
@@ -88,7 +103,11 @@ _NEXT = re.compile(r"[  ]*(\w+|\S|$)", re.MULTILINE)
 TITLES = frozenset("ms mr mrs miss dr prof sir madam herr herrn frau fräulein monsieur madame mademoiselle mme mlle m sr sra srta señor señora señorita don doña".split())
 
 KINDS = ("email", "phone", "id_number", "street_address")
-_RAW = "doc_id long, kind string, value string, start int, stop int, given string, family string, reversed boolean, after string"
+_RAW = "doc_id long, kind string, value string, start int, stop int, given string, family string, reversed boolean, after string, term string, before string, before2 string"
+#: Numbers of any form, by whose contexts those of personal ones are judged.
+_NUMBER = re.compile(r"(?<![\w+])[+(]?\d[\d().\-/   ]*\d")
+_WORDS = re.compile(r"\w+")
+_STREET_WORD = re.compile(rf"{_EN_KIND}|{_FR_KIND}(?!\w)|{_ES_KIND}|(?:straße|strasse|str\.|weg|gasse|platz|allee|ring|ufer|damm|steig)(?!\w)|{_SI_KIND}", re.IGNORECASE)
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -206,14 +225,31 @@ def name_shapes(text: str) -> list[tuple[int, int, str | None, str, bool, str]]:
     return out
 
 
+def term_of(kind: str, value: str) -> str:
+    """What values of the same form share."""
+    if kind == "street_address":
+        m = _STREET_WORD.search(value)
+        return m.group().casefold() if m else ""
+    if kind == "email":
+        at = "@" if "@" in value else "at"
+        return at + "." + re.split(r"\W+", value.rstrip(")]} "))[-1].casefold()
+    return re.sub(r"[^\W\d_]", "A", re.sub(r"\d", "9", value))
+
+
+def contexts(text: str, a: int, b: int) -> tuple[str, str, str]:
+    """The word before a stretch, the two before it and the word after it."""
+    last = [m.group().casefold() for m in _WORDS.finditer(text, max(0, a - 60), a)][-2:]
+    after = _NEXT.match(text, b)
+    return last[-1] if last else "", " ".join(last), after.group(1).casefold() if after else ""
+
+
 def candidates(documents: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Values of fixed form and pairs that may be names, of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in _RAW.split(", ")]
         schema = pa.schema(
             [("doc_id", pa.int64()), ("kind", pa.string()), ("value", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]
-            + [("given", pa.string()), ("family", pa.string()), ("reversed", pa.bool_()), ("after", pa.string())]
+            + [("given", pa.string()), ("family", pa.string()), ("reversed", pa.bool_()), ("after", pa.string()), ("term", pa.string()), ("before", pa.string()), ("before2", pa.string())]
         )
         for batch in batches:
             rows: list[tuple] = []
@@ -221,18 +257,48 @@ def candidates(documents: DataFrame, id_col: str = "doc_id", text: str = "text")
                 if not t:
                     continue
                 fixed = fixed_forms(t)
-                rows += [(doc, k, t[a:b], a, b, None, None, None, None) for k, a, b in fixed]
+                for k, a, b in fixed:
+                    before, before2, after = contexts(t, a, b)
+                    rows.append((doc, k, t[a:b], a, b, None, None, None, after, term_of(k, t[a:b]), before, before2))
+                for m in _NUMBER.finditer(t):
+                    a, b = m.span()
+                    if not any(a < y and x < b for _, x, y in fixed):
+                        before, before2, after = contexts(t, a, b)
+                        rows.append((doc, "other", None, a, b, None, None, None, after, term_of("other", t[a:b]), before, before2))
                 for a, b, g, f, rev, after in name_shapes(t):
                     if not any(a < y and x < b for _, x, y in fixed):
-                        rows.append((doc, "name", t[a:b], a, b, g, f, rev, after))
+                        rows.append((doc, "name", t[a:b], a, b, g, f, rev, after, None, None, None))
                 if len(rows) > 20_000:
-                    yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema)
+                    yield _batch(rows, schema)
                     rows = []
-            yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema)
+            yield _batch(rows, schema)
 
     return documents.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).filter("text IS NOT NULL").mapInArrow(run, _RAW)
 
 
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def disclosing_forms(raw: DataFrame) -> DataFrame:
+    """(kind, term, bits): forms whose occurrences' contexts leave them above 0 bits."""
+    said = F.array(F.concat(F.lit("1 "), "before"), F.concat(F.lit("2 "), "before2"), F.concat(F.lit("> "), "after"))
+    seen = raw.filter("kind <> 'name'").select("kind", "term", F.explode(said).alias("context")).groupBy("kind", "term", "context").agg(F.count("*").alias("n"))
+    seen = written(seen, "contexts")
+    other = seen.filter("kind = 'other'").groupBy("context").agg(F.sum("n").alias("n_other"))
+    of_kind = seen.filter("kind <> 'other'").groupBy("kind", "context").agg(F.sum("n").alias("n_kind"))
+    size = seen.groupBy("kind").agg(F.sum("n").alias("size"))  # a row per kind
+    others = seen.agg(F.coalesce(F.sum(F.when(F.col("kind") == "other", F.col("n"))), F.lit(0)).alias("size_other"))  # one row
+    terms = seen.filter("kind <> 'other'").join(of_kind, ["kind", "context"]).join(other, "context", "left").join(F.broadcast(size), "kind").join(F.broadcast(others))
+    own = Window.partitionBy("kind", "term")
+    rest, elsewhere, total = F.col("n_kind") - F.col("n"), F.coalesce("n_other", F.lit(0)), F.col("size") - F.sum("n").over(own)
+    # a context met nowhere else tells nothing; one count is spread over what has not been met
+    tells = F.when(rest + elsewhere > 0, F.log2((rest + 0.5) / (total + 1.0)) - F.log2((elsewhere + 0.5) / (F.col("size_other") + 1.0))).otherwise(0.0)
+    bits = F.sum("told") / 3 + PRIOR  # the three contexts of a value overlap
+    return terms.select("kind", "term", (F.col("n") * tells).alias("told")).groupBy("kind", "term").agg(bits.alias("bits")).filter("bits > 0")
+
+
 def _bits(hit: Column, n: Column, base: Column) -> Column:
     return F.when((hit > 0) & (base > 0), F.log2(F.try_divide(F.try_divide(hit, n), base)))
 
@@ -263,6 +329,29 @@ def _disclosing(shapes: DataFrame, given: DataFrame, family: DataFrame) -> tuple
     return tuple(written(t.union(m).distinct(), "terms") for t, m in zip((given, family), more))
 
 
+def _judged(raw: DataFrame, name_list: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Disclosing forms, given names and family names."""
+    pairs = raw.filter("kind = 'name'")
+    listed = name_list.filter("name IS NOT NULL").select("kind", "name").distinct()
+
+    def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:  # as the words of texts are
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([n.casefold() for n in b.column(1).to_pylist()], pa.string())], ["kind", "term"])
+
+    listed = written(listed.mapInArrow(folded, "kind string, term string").distinct(), "listed")
+    # a pair counts once per context, however often a speaker is named
+    shapes = written(pairs.filter("given IS NOT NULL").select("given", "family", "after", "reversed").distinct(), "shapes")
+    given = listed.filter("kind = 'given'").select(F.col("term").alias("given"))
+    family = listed.filter("kind = 'family'").select(F.col("term").alias("family"))
+    for _ in range(ROUNDS):
+        given, family = _disclosing(shapes, given, family)
+    return written(disclosing_forms(raw).select("kind", "term"), "forms"), given, family
+
+
+def _held(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_TERMS else df
+
+
 def findings(documents: DataFrame, name_list: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, kind, value, start, stop) of every value found.
 
@@ -271,18 +360,15 @@ def findings(documents: DataFrame, name_list: DataFrame, id_col: str = "doc_id",
     in the corpus) only values of fixed form are found.
     """
     raw = written(candidates(documents, id_col, text), "personal")
-    pairs = raw.filter("kind = 'name'")
-    listed = name_list.filter("name IS NOT NULL").select(F.lower("name").alias("term"), "kind").distinct()
-    # a pair counts once per context, however often a speaker is named
-    shapes = written(pairs.filter("given IS NOT NULL").select("given", "family", "after", "reversed").distinct(), "shapes")
-    given = listed.filter("kind = 'given'").select(F.col("term").alias("given"))
-    family = listed.filter("kind = 'family'").select(F.col("term").alias("family"))
-    for _ in range(ROUNDS):
-        given, family = _disclosing(shapes, given, family)
-    given_terms, family_terms = given.withColumn("g", F.lit(True)), family.withColumn("f", F.lit(True))
+    forms, given, family = _judged(raw, name_list)
+    return _found(raw, forms, given, family)
+
+
+def _found(raw: DataFrame, forms: DataFrame, given: DataFrame, family: DataFrame) -> DataFrame:
     names = (
-        pairs.join(family_terms, "family")
-        .join(given_terms, "given", "left")
+        raw.filter("kind = 'name'")
+        .join(_held(family), "family")
+        .join(_held(given.withColumn("g", F.lit(True))), "given", "left")
         .filter("given IS NULL OR g")
         .select("doc_id", "kind", "value", "start", "stop", (F.col("reversed") | F.col("given").isNull()).alias("weak"))
     )
@@ -294,11 +380,33 @@ def findings(documents: DataFrame, name_list: DataFrame, id_col: str = "doc_id",
     plain_start = F.min(F.when(~F.col("weak"), F.col("start"))).over(behind)
     names = names.withColumn("e", plain_end).withColumn("s", plain_start)
     names = names.filter(~F.col("weak") | ((F.coalesce("e", F.lit(-1)) <= F.col("start")) & (F.col("s").isNull() | (F.col("s") >= F.col("stop")))))
-    return raw.filter("kind <> 'name'").select("doc_id", "kind", "value", "start", "stop").unionByName(
+    return raw.filter("value IS NOT NULL AND kind <> 'name'").join(_held(forms), ["kind", "term"], "left_semi").select("doc_id", "kind", "value", "start", "stop").unionByName(
         names.select("doc_id", "kind", "value", "start", "stop")
     )
 
 
+def spans_of(text: str, forms: set[tuple[str, str]], given: set[str], family: set[str]) -> list[tuple[int, int, str]]:
+    """Values of one text by the disclosing terms, as :func:`findings` has them."""
+    fixed = fixed_forms(text)
+    names = [
+        (a, b, rev or g is None)
+        for a, b, g, f, rev, _ in name_shapes(text)
+        if f in family and (g is None or g in given) and not any(a < y and x < b for _, x, y in fixed)
+    ]
+    names = sorted(set(names))
+    out = [(a, b, k) for k, a, b in fixed if (k, term_of(k, text[a:b])) in forms]
+    behind = [float("inf")] * (len(names) + 1)
+    for i in range(len(names) - 1, -1, -1):
+        behind[i] = min(behind[i + 1], float("inf") if names[i][2] else names[i][0])
+    end = -1
+    for i, (a, b, weak) in enumerate(names):
+        if not weak or end <= a and behind[i + 1] >= b:
+            out.append((a, b, "name"))
+        if not weak:
+            end = max(end, b)
+    return out
+
+
 def replace_spans(text: str | None, spans: list[tuple[int, int, str]]) -> str | None:
     """The text with each span replaced by its placeholder; of overlapping spans the first."""
     if text is None:
@@ -314,11 +422,25 @@ def replace_spans(text: str | None, spans: list[tuple[int, int, str]]) -> str |
 def sanitised(documents: DataFrame, name_list: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text): every document with typed placeholders in place of the values found.
 
-    Spans are gathered per document (as many as its text holds); documents
-    that share an id are told apart by their text.
+    Texts are not shuffled: the disclosing terms, if no more than
+    BROADCAST_TERMS of a sort, go to every worker, which finds and replaces in
+    one pass.  With more of them spans are joined to their texts; documents that
+    share an id are then told apart by their text.
     """
     docs = documents.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
-    spans = findings(documents, name_list, id_col, text).groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop", "kind", "value")).alias("spans"))
+    raw = written(candidates(documents, id_col, text), "personal")
+    terms = _judged(raw, name_list)
+    if max(t.count() for t in terms) <= BROADCAST_TERMS:
+        forms, given, family = ([tuple(r) for r in t.collect()] for t in terms)
+        held = documents.sparkSession.sparkContext.broadcast((set(forms), {g for (g,) in given}, {f for (f,) in family}))
+
+        def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts = [t and replace_spans(t, spans_of(t, *held.value)) for t in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+        return docs.mapInArrow(whole, "doc_id long, text string")
+    spans = _found(raw, *terms).groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop", "kind", "value")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
