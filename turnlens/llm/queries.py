@@ -107,6 +107,11 @@ def p6_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dialogue_tokens(_read(spark, sf_dir, "dialogues"), _read(spark, sf_dir, "vocab"))
 
 
+def p6_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns in the budget's slices by source, domain and role, whatever the language."""
+    return p6_budget(spark, sf_dir).filter("kept = 'source,domain,role'").select("source", "domain", "role", "turns", "dialogue_roles")
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns of which at least 40 % is repeated: suspected by the decision list, then checked exactly."""
     from .repetition import repetition
@@ -118,7 +123,7 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The repeated share of every turn."""
     from .repetition import repetition
 
-    return repetition(_read(spark, sf_dir, "dialogues")).select("record_id", "turn", "n_words", "share", "rule", "repetitive")
+    return repetition(_read(spark, sf_dir, "dialogues")).select("record_id", "turn", "n_words", "share", "repetitive")
 
 
 def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,6 +139,22 @@ def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def p8_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each capacity: documents packed, containers over it, texts split that fit and pieces whose place is taken or skipped."""
+    packed = p8_containers(spark, sf_dir).join(F.broadcast(_read(spark, sf_dir, "context_windows").select("window_id", "capacity")), "window_id")
+    boxes = packed.groupBy("window_id", "container").agg(
+        (F.sum("tokens") > F.first("capacity")).cast("long").alias("over"),
+        ((F.count("*") != F.countDistinct("position")) | (F.max("position") != F.count("*") - 1)).cast("long").alias("misplaced"),
+    )
+    texts = packed.groupBy("window_id", "doc_id").agg(((F.count("*") > 1) & (F.sum("tokens") <= F.first("capacity"))).cast("long").alias("split"))
+    return (
+        texts.groupBy("window_id")
+        .agg(F.count("*").alias("documents"), F.sum("split").alias("split_needlessly"))
+        .join(boxes.groupBy("window_id").agg(F.sum("over").alias("overfull"), F.sum("misplaced").alias("misplaced")), "window_id")
+        .select("window_id", "documents", "overfull", "split_needlessly", "misplaced")
+    )
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents holding at least twelve words in a row of a benchmark item."""
     from .passages import RUN, leaks
@@ -171,4 +192,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from .twins import SQL
+
+    return dict(SQL)
