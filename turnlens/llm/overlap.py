@@ -114,14 +114,20 @@ def needed(n: np.ndarray) -> np.ndarray:
     return np.ceil(SHARE * n - 1e-9).astype(np.int64)
 
 
-def prefixes(words: np.ndarray, off: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each record's rarest words, and their offsets; ``count`` holds the words by the first bits of their hash."""
+def prefixes(words: np.ndarray, off: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each record's first words in the order of all, and their offsets.
+
+    ``place`` holds the places of the first bits of a word's hash; the word
+    itself is given as its place and its other bits, which is a place of its own.
+    """
     n = np.diff(off)
     x = occurrences(words, off)
-    owner = np.repeat(np.arange(n.size), n)
-    x = x[np.lexsort((x, count[x >> np.uint32(32 - ORDER_BITS)], owner))]
+    low = np.uint32(32 - ORDER_BITS)
+    x = place[x >> low].astype(np.uint64) << np.uint64(low) | (x & np.uint32((1 << low) - 1)).astype(np.uint64)
+    owner = np.repeat(np.arange(n.size, dtype=np.uint64), n)
+    x = np.sort(owner << np.uint64(32) | x).astype(np.uint32)
     size = np.minimum(n, n - needed(n) + 1 + n // LEAST)
-    keep = np.arange(x.size) - off[owner] < size[owner]
+    keep = np.arange(x.size) - np.repeat(off[:-1], n) < np.repeat(size, n)
     return x[keep], np.concatenate(([0], np.cumsum(size)))
 
 
@@ -130,7 +136,7 @@ def length_class(n: np.ndarray) -> np.ndarray:
 
 
 def _order(signed: DataFrame) -> np.ndarray:
-    """How often words stand in some of the records; any order is right, this one makes few candidates."""
+    """Places of words by the first bits of their hash, rare ones first in some of the records; any order is right, this one makes few candidates."""
     share = max(1, signed.count() // ORDER_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,12 +151,14 @@ def _order(signed: DataFrame) -> np.ndarray:
     t = signed.filter(F.pmod("k1", F.lit(share)) == 0).select("words").mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(1 << ORDER_BITS, np.int64)
     out[t["at"].to_numpy()] = t["n"].to_numpy()
-    return out
+    place = np.empty(out.size, np.uint32)
+    place[np.argsort(out, kind="stable")] = np.arange(out.size, dtype=np.uint32)
+    return place
 
 
-def _prefix_rows(reps: DataFrame, count: np.ndarray) -> DataFrame:
+def _prefix_rows(reps: DataFrame, place: np.ndarray) -> DataFrame:
     """Prefix, own length class and the classes that can hold an overlapping record, of each class of copies."""
-    held = reps.sparkSession.sparkContext.broadcast(count)
+    held = reps.sparkSession.sparkContext.broadcast(place)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
