@@ -1,11 +1,13 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from turnlens import schema
-from turnlens.functions import masking
-from turnlens.operators import curate, profile, quality, tokens
+from turnlens import __main__ as cli
+from turnlens import schema, settings
+from turnlens.functions import conjuncts, masking, segments
+from turnlens.operators import curate, profile, progress, quality, tokens
 from turnlens.plans import catalogue, reports
 from turnlens.sources import records, sinks
 from turnlens.streaming import translate
@@ -138,7 +140,10 @@ def test_mask_columns_take_null(spark):
 
 
 def test_reports(dialogues):
-    assert "## Structure" in reports.analysis_report(dialogues)
+    text = reports.analysis_report(dialogues)
+    for title in ("Abstract", "Methodology", "Structure", "Scripts", "Risk register", "Discussion", "Reproducibility"):
+        assert f"## {title}" in text
+    assert "absent" in reports.analysis_report(dialogues.filter("record_id < 0"))
     assert "absent" in reports.quality_report(dialogues) and "epochs_3" in reports.token_report(dialogues)
 
 
@@ -159,3 +164,129 @@ def test_long_report_tables_are_never_cut_silently(spark, tmp_path):
         reports.repair_report(repaired)
     text = reports.repair_report(repaired, str(tmp_path))
     assert "50 more rows" in text and spark.read.parquet(str(tmp_path / "merged_forms")).count() == 250
+
+
+def test_fail_fast_and_rewrite(spark, tmp_path):
+    good, bad = tmp_path / "good.jsonl", tmp_path / "bad.jsonl"
+    good.write_text('{"prompt": "p", "prompt_id": "i", "messages": []}\n' * 50, encoding="utf-8")
+    bad.write_text("not json\n", encoding="utf-8")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        records.read_jsonl(spark, str(bad), "raise").collect()
+    sinks.jsonl_to_parquet(spark, str(good), str(tmp_path / "pq"), group_rows=20)
+    import pyarrow.parquet as pq
+
+    (file,) = (tmp_path / "pq").glob("*.parquet")
+    meta = pq.ParquetFile(file).metadata
+    assert meta.num_rows == 50 and meta.num_row_groups == 3 and meta.row_group(0).column(0).compression == "ZSTD"
+    assert sinks.rewrite_lines(records.read_lines(spark, str(good)), str(tmp_path / "again")) == 50
+    sinks.write_sides(spark.createDataFrame([("a é", "train"), ("b", "test")], "line string, side string"), str(tmp_path / "sides"))
+    assert spark.read.text(str(tmp_path / "sides")).count() == 2
+    two = records.read_labelled(spark, [f"good={good}", f"bad={bad}"])
+    assert {r["label"]: r["count"] for r in two.groupBy("label").count().collect()} == {"good": 50, "bad": 1}
+    assert [r["line"][:1] for r in two.orderBy("ord").limit(1).collect()] == ["n"]  # by file, then row
+
+
+def test_free_text_vocab_and_logs(spark, tmp_path):
+    (tmp_path / "t.txt").write_bytes(b"a\xffb\nc\n")
+    assert [r["text"] for r in records.read_free_text(spark, str(tmp_path / "t.txt")).collect()] == ["ab", "c"]
+    (tmp_path / "v.tsv").write_text("▁ක්‍ර\t-1\nab\t-2\n", encoding="utf-8")
+    assert [r["form"] for r in records.read_joiner_pieces(spark, str(tmp_path / "v.tsv")).collect()] == ["ක්‍ර"]
+    (tmp_path / "x.log").write_text("start\nDONE part_01\n")
+    (tmp_path / "y.log").write_text("start\n")
+    assert [r["file_name"] for r in records.finished_logs(spark, str(tmp_path / "*.log")).collect()] == ["x.log"]
+
+
+def test_artifacts_are_optional(spark, tmp_path, dialogues):
+    with pytest.warns(UserWarning, match="no artifact"):
+        assert sinks.read_artifact(spark, str(tmp_path / "none.json")) == {}
+    (tmp_path / "a.json").write_text(sinks.artifact({"roles": profile.roles(dialogues)}), encoding="utf-8")
+    assert "roles" in sinks.read_artifact(spark, str(tmp_path / "a.json"))
+
+
+def test_lexicon_is_kept_by_least_count(spark, tmp_path):
+    texts = spark.createDataFrame([("වන වන රට",)], "content string")
+    first = conjuncts.cached_lexicon(texts, "content", str(tmp_path), 2)
+    assert {r["word"] for r in first.collect()} == {"වන"}
+    assert {r["word"] for r in conjuncts.cached_lexicon(texts, "content", str(tmp_path), 1).collect()} == {"වන", "රට"}
+    assert conjuncts.cached_lexicon(texts.filter("content = ''"), "content", str(tmp_path), 2).count() == 1  # kept
+
+
+def test_repair_with_a_lexicon_too_large_to_hold(spark):
+    lex = spark.createDataFrame([("ශ්‍රී", 40), ("මිත්‍රයා", 9), ("ක්‍රමය", 2), ("රථය", 70)], "word string, n long")
+    texts = spark.createDataFrame([("ශ් රී මිත් රයා ක් රමය",), (None,), ("",)], "t string")
+    whole = [r["repair"] for r in conjuncts.repaired(texts, lex, "t").collect()]
+    assert whole == [r["repair"] for r in conjuncts.repaired(texts, lex, "t", most=0).collect()]
+    assert [m["tier"] for m in whole[0]["merges"]] == ["T1", "T1", "T3"]
+
+
+def test_progress(spark):
+    parts = spark.createDataFrame([("a", 5, True), ("b", 3, False), ("c", 0, None), ("d", 99, False), ("e", None, False)], "part string, done long, finished boolean")
+    totals = spark.createDataFrame([("c", 7), ("d", 10), ("a", 1)], "part string, total long")
+    status = progress.parts_status(progress.totals_of(parts, {"a": 10, "b": 10}, totals))
+    got = {r["part"]: (r["done"], r["total"], r["pct"], r["status"], r["resume_from"]) for r in status.collect()}
+    assert got == {"a": (10, 10, 100.0, "done", None), "b": (3, 10, 30.0, "partial", 3), "c": (0, 7, 0.0, "queued", None), "d": (10, 10, 100.0, "partial", 10), "e": (0, 0, 0.0, "queued", None)}
+    document, text = progress.summary(status, 7.0)
+    assert json.loads(document)["remaining"] == 14 and "Time left : 2.00 h" in text
+    assert json.loads(progress.summary(status.filter("part = 'z'"), 0.0)[0])["hours_left"] is None
+    log = spark.sql("SELECT 'j' AS job, timestamp'2024-01-01' + make_dt_interval(0, h) AS ts, d AS done FROM VALUES (0, 0), (1, 500), (3, 500), (4, 600) AS t(h, d)")
+    assert [r["per_hour"] for r in progress.rates(log).orderBy("ts").collect()] == [11_000.0, 500.0, 11_000.0, 100.0]
+
+
+def test_segments_within_a_token_limit(spark, dialogues):
+    count = lambda: lambda t: len(t)  # a token per character
+    long = spark.createDataFrame([(1, "s", "word " * 200, "p", [("word " * 200, U), ("x" * 300, A)])], TYPE)
+    seen = []
+
+    def make():
+        def run(texts):
+            assert all(len(t) <= 50 for t in texts)
+            return [t + " " for t in texts]
+
+        return run
+
+    out = translate.translated(long, make, count=count, most=50, mend=str.rstrip).first()
+    assert out["messages"][0]["content"].split() == ["word"] * 200 and out["messages"][1]["content"].replace(" ", "") == "x" * 300
+    assert segments.fit("", len, 5) == [""] and segments.fit("abc def", len, 5) == ["abc", "def"] and not seen
+    with pytest.raises(ValueError):
+        segments.within(["a", "b"], lambda ts: ts[:1], None, 5, None)
+
+
+def test_exact_token_counts(spark, dialogues):
+    path = "/opt/tokenizers/piece_bpe_32k.model"
+    if not os.path.exists(path):
+        pytest.skip("no tokenizer files here")
+    got = {r["record_id"]: r["tokens"] for r in tokens.exact_dialogue_tokens(dialogues, path).collect()}
+    count = tokens.file_counter(path)()
+    assert got[1] == count("Hi") + count("Hello") and got[5] == 0 and len(got) == 9
+    with pytest.warns(UserWarning, match="estimated"):
+        assert tokens.exact_count(spark, "/none.model") is tokens.text.token_estimate
+
+
+def test_settings_and_command_line(spark, tmp_path, dialogues, capsys):
+    s = settings.load({"TURNLENS_MASK": "no", "TURNLENS_PARTS": "3", "TURNLENS_BATCH": " "})
+    assert (s.mask, s.parts, s.batch) == (False, 3, 96)
+    with pytest.raises(ValueError):
+        settings.load({"TURNLENS_MASK": "maybe"})
+    data, out = tmp_path / "data", str(tmp_path / "out")
+    dialogues.select("prompt", "prompt_id", "messages").coalesce(1).write.parquet(str(data))
+    run = lambda *a: cli.run(list(a), spark, s)
+    assert run("splits", str(data)) == 0 and capsys.readouterr().out.endswith("9\n")
+    for n in (2, 9, 9):  # resumes where it stopped
+        run("translate", str(data), "--out", out, *(["--limit", "2"] if n == 2 else []))
+        assert spark.read.schema(schema.RECORD).json(out).count() == n
+    run("split", str(data), "--out", str(tmp_path / "parts"))
+    assert sum(p["dialogues"] for p in json.loads((tmp_path / "parts" / "_manifest.json").read_text())["parts"]) == 9
+    run("lexicon", str(data), "--out", str(tmp_path / "lex"))
+    run("tokens", str(data), "--out", str(tmp_path / "t.md"))
+    run("quality", f"all={out}/*.json", "--out", str(tmp_path / "q.md"))
+    assert "| all |" in (tmp_path / "q.md").read_text() and "## Distributions" in (tmp_path / "t.md").read_text()
+    run("to-parquet", f"{out}/*.json", str(tmp_path / "pq"))
+    assert spark.read.parquet(str(tmp_path / "pq")).count() == 9
+    (tmp_path / "ids.txt").write_text("a\n")
+    run("route", f"{out}/*.json", str(tmp_path / "ids.txt"), str(tmp_path / "sides"))
+    assert {r["side"]: r["count"] for r in spark.read.text(str(tmp_path / "sides")).groupBy("side").count().collect()} == {"test": 2, "train": 7}
+    run("repair", f"{out}/*.json", str(tmp_path / "lex"), str(tmp_path / "fixed"))
+    assert spark.read.text(str(tmp_path / "fixed")).count() == 9
+    run("progress", f"{out}/*.json", str(tmp_path / "parts" / "_manifest.json"))
+    assert "Remaining" in capsys.readouterr().out
+    assert run("selftest") == 0

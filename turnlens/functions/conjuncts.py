@@ -10,6 +10,8 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,16 +85,48 @@ class Joiner:
         return _CHAIN.sub(chain, text), merges, kept, residual
 
 
+def cached_lexicon(texts: DataFrame, column: str, folder: str, least: int = 2) -> DataFrame:
+    """The lexicon kept under ``folder``, made when first asked for; another least count is another table."""
+    spark = texts.sparkSession
+    path = f"{folder.rstrip('/')}/lexicon-{column}-{least}"
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    lexicon(texts, column, least).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _asked(texts: DataFrame, column: str) -> DataFrame:
+    """Words the repair of these texts may look up: joined stretches of their chains, and first letters with a joiner."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: set[str] = set()
+            for t in b.column(0).to_pylist():
+                for m in _CHAIN.finditer(t or ""):
+                    parts = m[0].split(" ")
+                    out.update(JOINER.join(parts[i:j]) for i in range(len(parts)) for j in range(i + 2, len(parts) + 1))
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(out), pa.string())], ["word"])
+
+    return texts.select(column).mapInArrow(run, "word string").distinct()
+
+
 def repaired(texts: DataFrame, lex: DataFrame, column: str, pieces: frozenset[str] = frozenset(), threshold: int = THRESHOLD, most: int = 5_000_000):
     """``texts`` with a struct column ``repair``: text, merges, kept, residual.
 
-    Every worker holds the lexicon's frequent and joiner-bearing words; more
-    than ``most`` of them are refused rather than broadcast.
+    Every worker holds the words it may ask for and the attested clusters.  Of
+    a lexicon of more than ``most`` words that could be asked for, only those
+    that the broken places of these texts can form are held, which is a pass more.
     """
-    needed = lex.filter((F.col("n") >= threshold) | F.contains("word", F.lit(JOINER)))
-    size = needed.count()
-    if size > most:
-        raise ValueError(f"the lexicon has {size} words that every worker would hold; raise its least count or `most`")
+    attested = clusters(lex)
+    needed = lex.filter(F.col("n") >= threshold)
+    if needed.count() > most:
+        needed = needed.join(_asked(texts, column), "word", "left_semi")
+    # as many clusters as there are pairs of letters
+    rare = attested.select(F.col("cluster").alias("word"), F.lit(0).cast("long").alias("n"))
+    needed = needed.select("word", "n").unionByName(rare)
     joiner = Joiner({r["word"]: r["n"] for r in needed.toLocalIterator()}, pieces, threshold)
     held = texts.sparkSession.sparkContext.broadcast(joiner)
 

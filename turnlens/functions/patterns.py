@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 _S = r"[\s\x{1c}-\x{1f}]"
 _NS = r"[^\s\x{1c}-\x{1f}]"
 
+# Signs of mathematical notation.
+_LATEX = r"\\(?:frac|sum|prod|int|sqrt|lim|infty|partial|nabla|alpha|beta|gamma|delta|theta|lambda|mu|sigma|pi|cdot|times|leq|geq|neq|approx|equiv|rightarrow|forall|exists)\b|\\begin\{|\\end\{|\$\$[^$]+\$\$|"
+LATEX = _LATEX + r"\$(?!\()[^$\n]*[\^_]\{[^$\n]*\$"
 # The detectors, in the order in which reports list them.
 DETECTORS: dict[str, str] = {
     "code_fence": r"```",
@@ -23,7 +26,7 @@ DETECTORS: dict[str, str] = {
     "bullet_list": rf"(?Udm)^{_S}*[-*+]{_S}+{_NS}",
     "numbered_list": rf"(?Udm)^{_S}*\d+[.)]{_S}+{_NS}",
     "heading": rf"(?Udm)^{_S}*#{{1,6}}{_S}+{_NS}",
-    "latex_math": r"(?U)\\(?:frac|sum|prod|int|sqrt|lim|infty|partial|nabla|alpha|beta|gamma|delta|theta|lambda|mu|sigma|pi|cdot|times|leq|geq|neq|approx|equiv|rightarrow|forall|exists)\b|\\begin\{|\\end\{|\$\$[^$]+\$\$|\$(?!\()[^$\n]*[\^_]\{[^$\n]*\$",
+    "latex_math": rf"(?U){LATEX}",
     "html_tag": rf"(?U)</?[a-zA-Z][a-zA-Z0-9]*({_S}[^>]*)?>",
     "emoji": r"[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}]",
     "md_link": r"\[[^\]]+\]\([^)]+\)",
@@ -34,6 +37,22 @@ SEVERITY: dict[str, str] = {
     "code_fence": "high", "inline_code": "high", "latex_math": "high", "url": "high", "email": "medium", "html_tag": "medium",
     "markdown_table": "medium", "md_link": "medium", "numbered_list": "low", "bullet_list": "low", "heading": "low", "emphasis": "low", "emoji": "low",
 }
+#: Why each feature matters to a translation.
+RATIONALE: dict[str, str] = {
+    "code_fence": "Names and strings inside a program would be translated and the program broken: keep the block out.",
+    "inline_code": "A term in code marks must come back letter for letter: keep it out.",
+    "latex_math": "Formulas come back with their parts moved or lost: keep them out.",
+    "url": "An address works only unchanged: keep it out.",
+    "email": "An address reaches its owner only unchanged: keep it out.",
+    "html_tag": "Tags may be lost or change places and take the structure with them.",
+    "markdown_table": "Columns are told by bars that may be lost or moved.",
+    "md_link": "The target must stay; only the words before it are text.",
+    "numbered_list": "Numbers must stay with their items and in order.",
+    "bullet_list": "Items may run together when a marker is lost.",
+    "heading": "A lost marker turns a heading into a sentence.",
+    "emphasis": "Lost marks change the look and hardly the meaning.",
+    "emoji": "Mostly comes through; watched to be sure.",
+}
 SEVERITY_RANK = {"high": 0, "medium": 1, "low": 2}
 # Scripts whose presence means text in a foreign language.
 SCRIPTS = ("Sinhala", "Devanagari", "Tamil", "Bengali", "Arabic", "Hebrew", "Cyrillic", "Greek", "Han", "Hiragana", "Katakana", "Hangul", "Thai", "Gujarati", "Telugu", "Kannada", "Malayalam")
@@ -53,7 +72,7 @@ RE2: dict[str, str] = {
     "bullet_list": rf"(?m)^{_RS}*[-*+]{_RS}+{_RNS}",
     "numbered_list": rf"(?m)^{_RS}*\p{{Nd}}+[.)]{_RS}+{_RNS}",
     "heading": rf"(?m)^{_RS}*#{{1,6}}{_RS}+{_RNS}",
-    "latex_math": r"\\(?:frac|sum|prod|int|sqrt|lim|infty|partial|nabla|alpha|beta|gamma|delta|theta|lambda|mu|sigma|pi|cdot|times|leq|geq|neq|approx|equiv|rightarrow|forall|exists)\b|\\begin\{|\\end\{|\$\$[^$]+\$\$|\$(?:[\^_]\{|[^($\n][^$\n]*[\^_]\{)[^$\n]*\$",
+    "latex_math": _LATEX + r"\$(?:[\^_]\{|[^($\n][^$\n]*[\^_]\{)[^$\n]*\$",
     "html_tag": rf"</?[a-zA-Z][a-zA-Z0-9]*({_RS}[^>]*)?>",
     "emoji": r"[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}]",
     "md_link": r"\[[^\]]+\]\([^)]+\)",
@@ -66,5 +85,9 @@ def has(name: str, text: Column) -> Column:
     return text.rlike(DETECTORS[name])
 
 
+#: A character of any of the scripts.
+ANY_SCRIPT = "[" + "".join(rf"\p{{Is{s}}}" for s in SCRIPTS) + "]"
+
+
 def has_script(script: str, text: Column) -> Column:
     return text.rlike(rf"\p{{Is{script}}}")

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 LIMIT = 1000
+#: Tokens a translation model takes.
+MOST_TOKENS = 512
 _SENTENCE = re.compile(r"(?<=[.!?。！？])\s+")
 LAYOUT = "segments array<string>, lines array<string>, per_line array<int>"
 
@@ -41,6 +44,41 @@ def rebuild(segments: list[str], lines: list[str], per_line: list[int]) -> str:
     return "\n".join(" ".join(next(todo) for _ in range(n)) if n else line for line, n in zip(lines, per_line))
 
 
+Counter = Callable[[str], int]
+
+
+def fit(text: str, count: Counter, most: int = MOST_TOKENS) -> list[str]:
+    """Parts of at most ``most`` tokens; cut at the space nearest the middle, without a space between characters.
+
+    Text is halved until every part fits; a single character that does not fit stays.
+    """
+    todo, out = [text], []
+    while todo:
+        t = todo.pop()
+        if len(t) < 2 or count(t) <= most:
+            out.append(t)
+            continue
+        middle = len(t) // 2
+        before, after = t.rfind(" ", 1, middle), t.find(" ", middle, len(t) - 1)
+        spaces = [i for i in (before, after) if i > 0]
+        at = min(spaces, key=lambda i: abs(i - middle)) if spaces else middle
+        todo += [t[at:].strip(" ") if spaces else t[at:], t[:at]]
+    return [t for t in out if t.strip()] or [text]
+
+
+def within(texts: list[str], translate: Callable[[list[str]], list[str]], count: Counter | None, most: int, mend: Callable[[str], str] | None) -> list[str]:
+    """Translations of texts, of which long ones go in parts."""
+    parts = [fit(t, count, most) if count else [t] for t in texts]
+    flat = [p for ps in parts for p in ps]
+    done = list(translate(flat))
+    if len(done) != len(flat):
+        raise ValueError(f"{len(flat)} segments came back as {len(done)}")
+    if mend:
+        done = [mend(t) for t in done]
+    todo = iter(done)
+    return [" ".join(next(todo) for _ in ps) for ps in parts]
+
+
 def cut_to(text: Column, limit: int = LIMIT) -> Column:
     """struct(segments, lines, per_line); null counts as empty."""
 

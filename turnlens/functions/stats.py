@@ -19,16 +19,11 @@ def summary(value: Column) -> list[Column]:
         F.round(F.coalesce(F.avg(value), F.lit(0.0)), 6).alias("mean"),
         F.round(F.coalesce(F.stddev_pop(value), F.lit(0.0)), 6).alias("std"),
     ]
-    return out + [F.round(F.coalesce(F.percentile(value, F.lit(q)), F.lit(0.0)), 6).alias(name) for name, q in QUANTILES]
+    # one buffer of counted values serves all quantiles
+    quantiles = F.percentile(value, F.array(*[F.lit(q) for _, q in QUANTILES]))
+    return out + [F.round(F.coalesce(F.get(quantiles, i), F.lit(0.0)), 6).alias(name) for i, (name, _) in enumerate(QUANTILES)]
 
 
 def percent(part: Column, whole: Column, digits: int = 3) -> Column:
     """Half-even percentage, 0 of nothing."""
     return F.when(whole == 0, F.lit(0.0)).otherwise(F.bround(100.0 * part / whole, digits))
-
-
-def index_quantile(values: Column, q: float) -> Column:
-    """The value at index floor(q * n) of the sorted array ``values`` (at most the last); 0 of an empty one."""
-    n = F.size(values)
-    at = F.least(n - 1, F.floor(F.lit(q) * n).cast("int"))
-    return F.when(n == 0, F.lit(0)).otherwise(F.get(F.array_sort(values), at))

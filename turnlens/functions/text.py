@@ -45,6 +45,13 @@ def dialogue_hash(messages: Column) -> Column:
     return F.md5(F.array_join(F.transform(kept, lambda m: m["content"]), ""))
 
 
+def messages_hash(messages: Column) -> Column:
+    """md5 of roles and contents in order; a null role, content or element differs from an empty one."""
+    null = F.lit("\x03")
+    turns = F.transform(messages, lambda m: F.when(m.isNull(), null).otherwise(F.concat(F.coalesce(m["role"], null), F.lit("\x01"), F.coalesce(m["content"], null))))
+    return F.md5(F.array_join(F.coalesce(turns, F.array().cast("array<string>")), "\x02"))
+
+
 def first_user_turn(messages: Column) -> Column:
     """Content of the first user turn; empty if there is none."""
     user = F.filter(messages, lambda m: m["role"] == "user")

@@ -34,10 +34,19 @@ def keep_first(df: DataFrame, key: str, order: str, blank: Column) -> DataFrame:
 
 
 def last_wins(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The last row of each key, by one partial aggregation and no sort."""
-    other = [c for c in df.columns if c != key]
-    last = df.groupBy(key).agg(F.max_by(F.struct(*other), order).alias("last"))
-    return last.select(key, *[F.col("last")[c].alias(c) for c in other])
+    """The row of each key (null is one) with the greatest ``order``, which tells the rows of a key apart.
+
+    Only keys and orders are aggregated, partly before the shuffle; the rows
+    are then picked by a semi join, so no record is held in a buffer or sorted
+    by its other columns.
+    """
+    last = df.groupBy(F.col(key).alias("_key")).agg(F.max(order).alias("_last"))
+    return df.join(last, df[key].eqNullSafe(last["_key"]) & (df[order] == last["_last"]), "left_semi")
+
+
+def first_rows(df: DataFrame, order: str, n: int) -> DataFrame:
+    """The first ``n`` rows in the order of ``order``."""
+    return df.orderBy(order).limit(n)
 
 
 def parts(df: DataFrame, order: str, n: int) -> DataFrame:
@@ -82,8 +91,17 @@ def duplicates(df: DataFrame, value: Column) -> DataFrame:
     return per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count("*").alias("n_values"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_duplicates"))
 
 
-def aligned(left: DataFrame, right: DataFrame, key: str, column: str) -> DataFrame:
-    """Messages of two versions of a record side by side by position; extra ones on the left stay, with null beside them."""
+def duplicates_by_side(df: DataFrame, value: Column, side: Column) -> DataFrame:
+    """The same within each side; rows of no side are left out."""
+    per = df.select(side.alias("side"), value.alias("v")).filter("side IS NOT NULL").groupBy("side", "v").agg(F.count("*").alias("n"))
+    return per.groupBy("side").agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_values"), F.sum(F.col("n") - 1).alias("n_duplicates"))
+
+
+def aligned(left: DataFrame, right: DataFrame, key: str, column: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Messages of two versions of a record side by side by position; extra ones on the left stay, with null beside them.
+
+    ``keep`` names further columns of the left.  A key of the right stands once.
+    """
     pair = F.transform(F.col("l"), lambda m, i: F.struct(i.alias("pos"), m["content"].alias("left"), F.get(F.col("r"), i)["content"].alias("right")))
-    both = left.select(key, F.col(column).alias("l")).join(right.select(key, F.col(column).alias("r")), key, "left")
-    return both.select(key, F.explode(pair).alias("x")).select(key, "x.*")
+    both = left.select(key, *keep, F.col(column).alias("l")).join(right.select(key, F.col(column).alias("r")), key, "left")
+    return both.select(key, *keep, F.explode(pair).alias("x")).select(key, *keep, "x.*")

@@ -19,6 +19,8 @@ from ..functions import stats, text
 from ..schema import clean_messages, messages_of
 
 CHAR_LIMITS = (5_000, 30_000)
+#: Lengths from which a message is cut into sentences before it is translated.
+CHUNK_LIMITS = (5_000, 10_000, 30_000)
 
 
 def _per_split(df: DataFrame, aggregates: list[Column]) -> DataFrame:
@@ -78,9 +80,11 @@ def first_roles(dialogues: DataFrame) -> DataFrame:
 
 def repeated_pairs(dialogues: DataFrame) -> DataFrame:
     """Neighbouring messages of the same role; after a message without role nothing is compared."""
-    m = messages_of(dialogues, "split", "record_id")
-    before = F.lag("role").over(Window.partitionBy("record_id").orderBy("pos"))
-    return _per_split(m.select("split", (before.isNotNull() & (before == F.col("role"))).alias("hit")), [F.count_if("hit").alias("n_pairs")])
+    roles = F.transform(clean_messages(F.col("messages")), lambda m: m["role"])
+    # side by side in the array, so nothing is shuffled but the counts
+    same = F.zip_with(F.slice("r", 1, F.greatest(F.size("r") - 1, F.lit(0))), F.slice("r", 2, F.greatest(F.size("r") - 1, F.lit(0))), lambda a, b: F.coalesce(a == b, F.lit(False)))
+    hits = F.size(F.filter(same, lambda x: x)).cast("long")
+    return _per_split(dialogues.select("split", roles.alias("r")).filter(F.size("r") > 0).select("split", hits.alias("n")), [F.sum("n").alias("n_pairs")])
 
 
 def message_lengths(dialogues: DataFrame) -> DataFrame:
@@ -132,7 +136,7 @@ def unicode_profile(dialogues: DataFrame) -> DataFrame:
         "split",
         text.count_of(c, P.NON_ASCII).alias("non_ascii"),
         text.count_of(c, P.TYPOGRAPHIC).alias("typographic"),
-        (c.rlike(P.NON_ASCII) & reduce(lambda a, b: a | b, [P.has_script(s, c) for s in P.SCRIPTS])).alias("script"),
+        c.rlike(P.ANY_SCRIPT).alias("script"),
     )
     return _per_split(
         m,
@@ -155,6 +159,13 @@ def scripts(dialogues: DataFrame) -> DataFrame:
     return m.groupBy("split", "script").agg(F.count("*").alias("n"))
 
 
+def top_scripts(dialogues: DataFrame, k: int = 10) -> DataFrame:
+    """The ``k`` most frequent scripts of each split; of equal ones the first in the list of scripts."""
+    place = F.array_position(F.array(*map(F.lit, P.SCRIPTS)), F.col("script"))
+    rank = F.row_number().over(Window.partitionBy("split").orderBy(F.desc("n"), place))
+    return scripts(dialogues).withColumn("rank", rank).filter(F.col("rank") <= k)
+
+
 def risk_register(dialogues: DataFrame) -> DataFrame:
     """One row per feature by severity, then messages; features that do not occur have 0."""
     one = dialogues.sparkSession.range(1).select(F.lit(True).alias("is_overall"))
@@ -171,10 +182,11 @@ def risk_register(dialogues: DataFrame) -> DataFrame:
 
 
 def high_risk(dialogues: DataFrame) -> DataFrame:
-    """Messages with a feature of high severity, and the longest message."""
+    """Messages with a feature of high severity, messages over each limit, and the longest message."""
     high = [P.has(n, F.col("content")) for n, s in P.SEVERITY.items() if s == "high"]
     m = messages_of(dialogues, "split").select("split", reduce(lambda a, b: a | b, high).alias("high"), F.length("content").alias("c"))
-    return _per_split(m, [F.count_if("high").alias("n_high"), F.max("c").alias("longest")])
+    over = [F.count_if(F.col("c") > n).alias(f"over_{n}") for n in CHUNK_LIMITS]
+    return _per_split(m, [F.count_if("high").alias("n_high"), *over, F.max("c").alias("longest")])
 
 
 def examples(dialogues: DataFrame, each: int = 3) -> DataFrame:
@@ -184,3 +196,12 @@ def examples(dialogues: DataFrame, each: int = 3) -> DataFrame:
     long = m.select("record_id", "pos", text.snippet(F.col("content")).alias("snippet"), F.explode(hits).alias("feature"))
     place = F.row_number().over(Window.partitionBy("feature").orderBy("record_id", "pos"))
     return long.withColumn("place", place).filter(F.col("place") <= each).select("feature", "place", "record_id", "pos", "snippet")
+
+
+def explained_register(dialogues: DataFrame, each: int = 3) -> DataFrame:
+    """The risk register with why each feature matters and its first examples (none: an empty list)."""
+    why = F.create_map(*[F.lit(x) for pair in P.RATIONALE.items() for x in pair])
+    shown = examples(dialogues, each).groupBy("feature").agg(F.array_sort(F.collect_list(F.struct("place", "snippet"))).alias("x"))
+    out = risk_register(dialogues).join(F.broadcast(shown), "feature", "left")  # thirteen rows
+    snippets = F.coalesce(F.transform("x", lambda e: e["snippet"]), F.array().cast("array<string>"))
+    return out.select("rank", "feature", "severity", "messages", "pct", why[F.col("feature")].alias("rationale"), snippets.alias("examples"))

@@ -7,12 +7,14 @@ whose operator SQL cannot express have none and are tested on fixtures.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ..functions import conjuncts, masking, patterns, segments, stats, text
-from ..operators import curate, profile, quality, tokens
+from ..functions import conjuncts, formats, masking, patterns, segments, stats, text
+from ..operators import curate, profile, progress, quality, tokens
 from ..schema import clean_messages, messages_of, split_order
 from ..streaming import translate
 
@@ -159,7 +161,7 @@ def risk_register(spark, d):
 
 @query(
     f"""WITH {_M} SELECT split, {_OVERALL}, count(*) FILTER ({' OR '.join(_hit(n) for n, s in patterns.SEVERITY.items() if s == 'high')}) AS n_high,
- max(length(content)) AS longest FROM m GROUP BY ROLLUP (split)"""
+ {', '.join(f'count(*) FILTER (length(content) > {n}) AS over_{n}' for n in profile.CHUNK_LIMITS)}, max(length(content)) AS longest FROM m GROUP BY ROLLUP (split)"""
 )
 def high_risk_messages(spark, d):
     return profile.high_risk(dialogues(spark, d))
@@ -227,7 +229,7 @@ def context_overflow(spark, d):
 @query(
     f"""WITH {_TOKENS}, g AS (SELECT *, CASE WHEN split LIKE '%_sft' THEN 'sft' ELSE 'gen' END AS split_group FROM t)
 SELECT split_group, count(*) AS n_dialogues, sum(turns)::BIGINT AS n_messages, sum(tokens)::BIGINT AS tokens,
- round_even(sum(tokens)::DOUBLE / sum(chars)::DOUBLE, 4) AS tokens_per_char FROM g GROUP BY split_group"""
+ round_even(sum(tokens)::DOUBLE / sum(chars)::DOUBLE, 4) AS tokens_per_char, round_even(sum(chars)::DOUBLE / sum(tokens)::DOUBLE, 4) AS chars_per_token FROM g GROUP BY split_group"""
 )
 def token_groups(spark, d):
     return tokens.groups(dialogues(spark, d))
@@ -351,11 +353,9 @@ SELECT record_id, (i - 1)::INTEGER AS pos, coalesce(length(l[i].content), -1) AS
 def aligned_messages(spark, d):
     df = dialogues(spark, d).select("record_id", "split", "prompt_id", "messages")
     right = curate.last_wins(df.filter(F.col("split").endswith("_gen")).withColumn("n", F.col("record_id")).select("prompt_id", "n", "messages"), "prompt_id", "n")
-    left = df.filter(F.col("split").endswith("_sft"))
-    pair = left.join(right.select(F.col("prompt_id").alias("p"), F.col("messages").alias("r")), left["prompt_id"] == F.col("p"), "left")
-    x = pair.select("record_id", "r", F.posexplode("messages").alias("pos", "m"))
+    x = curate.aligned(df.filter(F.col("split").endswith("_sft")), right, "prompt_id", "messages", ("record_id",))
     size = lambda c: F.coalesce(F.length(c), F.lit(-1)).cast("long")
-    return x.select("record_id", "pos", size(F.col("m.content")).alias("left_chars"), size(F.get("r", F.col("pos"))["content"]).alias("right_chars"))
+    return x.select("record_id", "pos", size("left").alias("left_chars"), size("right").alias("right_chars"))
 
 
 # --- quality -------------------------------------------------------------------
@@ -474,14 +474,19 @@ def mask_round_trip(spark, d):
 
 
 @query(
-    f"""WITH l AS (SELECT record_id, prompt, prompt_id, list_filter(coalesce(messages, []), lambda x: x IS NOT NULL) AS l FROM dialogues)
-SELECT prompt_id, count(*) AS n, sum(len(l))::BIGINT AS messages, count(prompt) AS prompts FROM l GROUP BY prompt_id"""
+    rf"""WITH l AS (SELECT prompt, prompt_id, list_filter(coalesce(messages, []), lambda x: x IS NOT NULL) AS l FROM dialogues),
+ t AS (SELECT *, md5(regexp_replace(array_to_string(list_transform(l, lambda x: coalesce(x.role, '') || chr(1) || coalesce(x.content, '')), chr(2)) || chr(3) || coalesce(prompt, ''), '{_SPACE}+', '', 'g')) AS h FROM l)
+SELECT prompt_id, count(*) AS n, sum(len(l))::BIGINT AS messages, count(prompt) AS prompts, min(h) AS first_text, max(h) AS last_text FROM t GROUP BY prompt_id"""
 )
 def translated_records(spark, d):
-    """The whole translation chain with the identity for a translator."""
+    """The whole translation chain with the identity for a translator; texts are compared without white space."""
     out = translate.translated(dialogues(spark, d))
-    size = F.aggregate(F.col("messages"), F.lit(0).cast("long"), lambda a, m: a + 1)
-    return out.groupBy("prompt_id").agg(F.count("*").alias("n"), F.sum(size).alias("messages"), F.count("prompt").alias("prompts"))
+    turns = F.transform("messages", lambda m: F.concat(F.coalesce(m["role"], F.lit("")), F.lit("\x01"), F.coalesce(m["content"], F.lit(""))))
+    text_of = F.concat(F.array_join(turns, "\x02"), F.lit("\x03"), F.coalesce("prompt", F.lit("")))
+    out = out.select("prompt_id", "prompt", F.size("messages").cast("long").alias("m"), F.md5(F.regexp_replace(text_of, r"(?U)[\s\p{Z}\x{1c}-\x{1f}]+", "")).alias("h"))
+    return out.groupBy("prompt_id").agg(
+        F.count("*").alias("n"), F.sum("m").alias("messages"), F.count("prompt").alias("prompts"), F.min("h").alias("first_text"), F.max("h").alias("last_text")
+    )
 
 
 @query()
@@ -502,6 +507,216 @@ def mask_leak_repair(spark, d):
     return fixed.select("record_id", "pos", F.col("y.text").alias("text"), F.col("y.status").alias("status"))
 
 
+@query(
+    f"""WITH {_FEATURES}, w AS ({_FEATURE_COUNTS}), x AS ({_LONG}),
+ g AS (SELECT row_number() OVER (ORDER BY CASE feature {_CASE_LEVEL} END, n DESC, place)::INTEGER AS rank, feature, CASE feature {_CASE_SEVERITY} END AS severity,
+  n AS messages, round_even(100.0::DOUBLE * n / n_messages, 3) AS pct FROM x WHERE is_overall),
+ e AS ({_EXAMPLES}), r AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY record_id, pos) AS p FROM e),
+ t AS (SELECT feature, p, regexp_replace(regexp_replace(content, '^{_SPACE}+|{_SPACE}+$', '', 'g'), '{_SPACE}+', ' ', 'g') AS flat FROM r WHERE p <= 3),
+ s AS (SELECT feature, string_agg(CASE WHEN length(flat) > 220 THEN left(flat, 220) || '…' ELSE flat END, chr(10) ORDER BY p) AS examples FROM t GROUP BY feature)
+SELECT rank, g.feature, severity, messages, pct, CASE g.feature {' '.join(f"WHEN '{n}' THEN '{w}'" for n, w in patterns.RATIONALE.items())} END AS rationale,
+ coalesce(examples, '') AS examples FROM g LEFT JOIN s ON g.feature = s.feature"""
+)
+def explained_register(spark, d):
+    return profile.explained_register(dialogues(spark, d)).withColumn("examples", F.array_join("examples", "\n"))
+
+
+_PLACES = " ".join(f"WHEN '{s}' THEN {i}" for i, s in enumerate(patterns.SCRIPTS))
+
+
+@query(
+    f"""WITH {_M}, x AS ({_SCRIPT_ROWS}), c AS (SELECT split, script, count(*) AS n FROM x GROUP BY ALL)
+SELECT split, script, n, row_number() OVER (PARTITION BY split ORDER BY n DESC, CASE script {_PLACES} END)::INTEGER AS rank FROM c QUALIFY rank <= 10"""
+)
+def top_scripts(spark, d):
+    return profile.top_scripts(dialogues(spark, d))
+
+
+@query(
+    f"""WITH {_M}, {_TOKENS}, v AS (SELECT split, 'message' AS measure, round_even(length(content) / 4.0, 0)::BIGINT AS c FROM m
+ UNION ALL SELECT split, 'dialogue', tokens FROM t UNION ALL SELECT split, 'with_overhead', tokens + 4 * turns FROM t)
+SELECT measure, split, {_OVERALL}, {_summary('c')} FROM v GROUP BY GROUPING SETS ((measure, split), (measure))"""
+)
+def token_distributions(spark, d):
+    return tokens.all_distributions(dialogues(spark, d))
+
+
+_SERIAL = "md5(coalesce(array_to_string(list_transform(messages, lambda x: CASE WHEN x IS NULL THEN chr(3) ELSE coalesce(x.role, chr(3)) || chr(1) || coalesce(x.content, chr(3)) END), chr(2)), ''))"
+
+
+@query(_leak_sql(_SERIAL, "messages"))
+def leak_by_messages(spark, d):
+    return _leak(spark, d, text.messages_hash(F.col("messages")), "messages")
+
+
+@query(
+    f"""SELECT side, count(*) AS n_rows, count(DISTINCT v) AS n_values, count(*) - count(DISTINCT v) AS n_duplicates
+FROM (SELECT CASE WHEN split LIKE 'train%' THEN 'train' WHEN split LIKE 'test%' THEN 'test' END AS side, {_SERIAL} AS v FROM dialogues) WHERE side IS NOT NULL GROUP BY side"""
+)
+def duplicates_by_side(spark, d):
+    side = F.when(F.col("split").startswith("train"), "train").when(F.col("split").startswith("test"), "test")
+    return curate.duplicates_by_side(dialogues(spark, d), text.messages_hash(F.col("messages")), side)
+
+
+@query("SELECT record_id, prompt_id FROM dialogues WHERE split = 'test_gen' ORDER BY record_id LIMIT 25")
+def first_of_split(spark, d):
+    """The first records of a split, as a trial run takes them."""
+    return curate.first_rows(dialogues(spark, d).filter("split = 'test_gen'").select("record_id", "prompt_id"), "record_id", 25)
+
+
+_PARTS = """c AS (SELECT file_name AS part, count(*) FILTER (json_valid(line)) AS done, count(*) AS total FROM raw_lines GROUP BY file_name),
+ f AS (SELECT *, done = total AS finished FROM c)"""
+
+
+@query(
+    f"""WITH {_PARTS} SELECT part, CASE WHEN finished THEN total ELSE least(done, total) END AS done, total,
+ round_even(100.0::DOUBLE * (CASE WHEN finished THEN total ELSE least(done, total) END) / total, 1) AS pct, CASE WHEN finished THEN 'done' WHEN done > 0 THEN 'partial' ELSE 'queued' END AS status,
+ CASE WHEN NOT finished AND done > 0 THEN least(done, total) END AS resume_from FROM f"""
+)
+def progress_status(spark, d):
+    """Lines of each file that parse, as the progress of parsing it."""
+    per = table(spark, d, "raw_lines").groupBy(F.col("file_name").alias("part")).agg(F.count_if(F.try_parse_json("line").isNotNull()).alias("done"), F.count("*").alias("total"))
+    return progress.parts_status(per.withColumn("finished", F.col("done") == F.col("total")))
+
+
+@query(
+    """WITH l AS (SELECT file_name AS job, date_trunc('day', ingested_at) AS ts, count(*) AS n FROM raw_lines WHERE ingested_at IS NOT NULL GROUP BY ALL),
+ c AS (SELECT job, ts, sum(n) OVER (PARTITION BY job ORDER BY ts)::BIGINT AS done FROM l),
+ g AS (SELECT *, done - lag(done) OVER (PARTITION BY job ORDER BY ts) AS made, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY job ORDER BY ts) AS took FROM c)
+SELECT job, strftime(ts, '%Y-%m-%d') AS day, done, round(CASE WHEN made > 0 AND took > 0 THEN made * 3600000000.0::DOUBLE / took ELSE 11000.0 END, 6) AS per_hour FROM g"""
+)
+def progress_rates(spark, d):
+    """Lines an hour of each file, day by day."""
+    day = table(spark, d, "raw_lines").filter("ingested_at IS NOT NULL").groupBy(F.col("file_name").alias("job"), F.date_trunc("day", "ingested_at").alias("ts")).agg(F.count("*").alias("n"))
+    log = day.select("job", "ts", F.sum("n").over(Window.partitionBy("job").orderBy("ts")).alias("done"))
+    return progress.rates(log).select("job", F.date_format("ts", "yyyy-MM-dd").alias("day"), "done", F.round("per_hour", 6).alias("per_hour"))
+
+
+@query(
+    f"""WITH {_TOKENS}, g AS (SELECT split, count(*) AS n, sum(chars)::BIGINT AS c, sum(tokens)::BIGINT AS t, count(*) FILTER (turns = 0) AS none FROM t GROUP BY split)
+SELECT split, format('{{:,}}', c) AS chars, CASE WHEN n = 0 THEN 'n/a' ELSE printf('%.3f%%', 100.0::DOUBLE * none / n) END AS without_turns, round(c::DOUBLE / t, 6) AS chars_per_token,
+ CASE WHEN n < 60 THEN n || 's' WHEN n < 3600 THEN (n // 60) || 'm ' || (n % 60) || 's' WHEN n < 86400 THEN (n // 3600) || 'h ' || (n % 3600 // 60) || 'm'
+  ELSE printf('%.1f', n / 86400.0::DOUBLE) || ' days' END AS at_one_a_second FROM g"""
+)
+def formatted_numbers(spark, d):
+    """Sizes of the splits as reports write them."""
+    g = tokens.dialogue_tokens(dialogues(spark, d)).groupBy("split").agg(
+        F.count("*").alias("n"), F.sum("chars").alias("c"), F.sum("tokens").alias("t"), F.count_if(F.col("turns") == 0).alias("none")
+    )
+    return g.select(
+        "split",
+        formats.grouped(F.col("c")).alias("chars"),
+        formats.percent_text(F.col("none"), F.col("n")).alias("without_turns"),
+        F.round(formats.ratio(F.col("c"), F.col("t")), 6).alias("chars_per_token"),
+        formats.human_time(F.col("n")).alias("at_one_a_second"),
+    )
+
+
+# --- operators SQL cannot express, on a few rows with results written down ----------
+
+
+def _literal(rows: list[tuple], names: str) -> str:
+    quote = lambda v: "NULL" if v is None else str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
+    return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(quote, r)) + ')' for r in rows)}) AS t({names})"
+
+
+# (text, masked, spans)
+_MASKS = [
+    ("Use `ls -l` or see https://ex.org/a now", "Use ⟦0⟧ or see ⟦1⟧ now", "`ls -l`|https://ex.org/a"), ("no spans", "no spans", ""), ("a <b>bold</b> word", "a ⟦0⟧bold⟦1⟧ word", "<b>|</b>"),
+    ("mail me@ex.org, $$x^2$$", "mail ⟦0⟧, ⟦1⟧", "me@ex.org|$$x^2$$"), ("", "", ""), (None, None, None),
+]
+
+
+@query(_literal([(i, *r) for i, r in enumerate(_MASKS)], "id, text, masked, spans"))
+def mask_cases(spark, d):
+    df = spark.createDataFrame([(i, r[0]) for i, r in enumerate(_MASKS)], "id int, text string").withColumn("x", masking.masked(F.col("text")))
+    return df.select("id", "text", F.col("x.masked").alias("masked"), F.array_join("x.originals", "|").alias("spans"))
+
+
+# (text as it came back, spans, text with them)
+_UNMASKS = [
+    ("Siehe ⟦1⟧ und ⟦ 0 ⟧.", "`a`|`b`", "Siehe `b` und `a`."), ("Nimm 1 vor 0", "x|y", "Nimm y vor x"), ("Verloren", "x|y", "Verloren x y"), ("⟦0 und 10", "x", "xund 10"),
+    ("⟦0⟧ ⟦0⟧", "x", "x x"), ("\x000\x00 bleibt", "x", "\x00x\x00 bleibt"), ("⟦5⟧ bleibt", "x", "⟦5⟧ bleibt x"), ("nichts", "", "nichts"),
+]
+
+
+@query(_literal([(i, r[2].replace("\x00", "~")) for i, r in enumerate(_UNMASKS)], "id, restored"))
+def unmask_cases(spark, d):
+    df = spark.createDataFrame([(i, r[0], r[1].split("|") if r[1] else []) for i, r in enumerate(_UNMASKS)], "id int, text string, spans array<string>")
+    return df.select("id", F.translate(masking.unmasked(F.col("text"), F.col("spans")), "\x00", "~").alias("restored"))
+
+
+# (kind of text, translated, source, repaired, status)
+_LEAKS = [
+    ("message", "Nimm 0 und 1 `a` https://ex.org", "Take `a` and https://ex.org", "Nimm `a` und https://ex.org", "reconstructed"), ("message", "Nimm es `a`", "Take `a`", "Nimm es\n\n`a`", "partial"),
+    ("message", "ohne", "without", "ohne", "no_mask"), ("message", "anders", "Take `a`", "anders", "skipped_no_tail"), ("message", "eins 0\nzwei 1 `a` `b`", "one `a`\ntwo `b`", "eins `a`\nzwei `b`", "reconstructed"),
+    ("message", "eins\nzwei 0 `a`", "one `a`", "eins\nzwei 0\n\n`a`", "partial"), ("prompt", "Nimm 0 `a`", "Take `a`", "Nimm `a`", "reconstructed"), ("prompt", "ohne", "without", "ohne", "no_mask"),
+]
+
+
+def _leak_cases(spark: SparkSession) -> DataFrame:
+    df = spark.createDataFrame([(i, *r[:3]) for i, r in enumerate(_LEAKS)], "id int, kind string, text string, source string")
+    return df.select("id", "kind", masking.leak_repaired(F.col("text"), F.col("source")).alias("x")).select("id", "kind", F.col("x.text").alias("text"), F.col("x.status").alias("status"))
+
+
+@query(_literal([(i, r[0], r[3], r[4]) for i, r in enumerate(_LEAKS)], "id, kind, text, status"))
+def leak_repair_cases(spark, d):
+    return _leak_cases(spark)
+
+
+@query(
+    f"""WITH c AS ({_literal([(i, r[0], r[4]) for i, r in enumerate(_LEAKS)], 'id, kind, status')}), s AS (SELECT CASE WHEN kind = 'prompt' THEN 'prompt_' ELSE '' END || status AS status, status AS bare FROM c)
+SELECT status, count(*) AS n, CASE WHEN any_value(bare) = 'no_mask' THEN NULL ELSE round_even(100.0::DOUBLE * count(*) / sum(CASE WHEN any_value(bare) <> 'no_mask' THEN count(*) ELSE 0 END)
+ OVER (PARTITION BY starts_with(status, 'prompt_')), 1) END AS pct_of_masked FROM s GROUP BY status"""
+)
+def leak_repair_statuses(spark, d):
+    return masking.status_counts(_leak_cases(spark))
+
+
+# (text, limit, segments, lines)
+_CUTS = [
+    ("One. Two! Three", 1000, "One.|Two!|Three", 1), ("a\n\nb. c", 1000, "a|b.|c", 3), ("aaa bbb ccc", 7, "aaa bbb|ccc", 1), ("abcdefgh ij", 3, "abc|def|gh|ij", 1), ("你好。 再见", 1000, "你好。|再见", 1), (" ", 1000, "", 1),
+]
+
+
+@query(_literal([(i, r[2], r[3]) for i, r in enumerate(_CUTS)], "id, segments, lines"))
+def segment_cases(spark, d):
+    parts = [
+        spark.createDataFrame([(i, r[0])], "id int, text string").select("id", segments.cut_to(F.col("text"), r[1]).alias("x")) for i, r in enumerate(_CUTS)
+    ]
+    out = reduce(DataFrame.unionByName, parts)
+    return out.select("id", F.array_join("x.segments", "|").alias("segments"), F.size("x.lines").alias("lines"))
+
+
+def wrong_cases(spark: SparkSession) -> list[str]:
+    """Names of cases with a written result that come out otherwise."""
+    written = {
+        "mask_cases": [(i, *r) for i, r in enumerate(_MASKS)],
+        "unmask_cases": [(i, r[2].replace("\x00", "~")) for i, r in enumerate(_UNMASKS)],
+        "leak_repair_cases": [(i, r[0], r[3], r[4]) for i, r in enumerate(_LEAKS)],
+        "segment_cases": [(i, r[2], r[3]) for i, r in enumerate(_CUTS)],
+        "conjunct_cases": [(i, *r[1:]) for i, r in enumerate(_CONJUNCTS)],
+    }
+    return [f"{name}: {got} instead of {want}" for name, rows in written.items() for got, want in zip(sorted(tuple(r) for r in _QUERIES[name](spark, "").collect()), rows) if got != want]
+
+
+_LEXICON = [("ශ්‍රී", 40), ("මිත්‍රයා", 9), ("වාක්‍ය", 5), ("ක්‍රමය", 4), ("බස්", 90), ("රථය", 70)]
+# (text, repaired, tiers, kept, residual)
+_CONJUNCTS = [
+    ("ශ් රී ලංකාව", "ශ්‍රී ලංකාව", "T1", 0, ""), ("මිත් රයා සහ වාක් ය", "මිත්‍රයා සහ වාක්‍ය", "T1,T1", 0, ""), ("බස් රථය", "බස් රථය", "", 1, ""), ("ක් රමය", "ක්‍රමය", "T3", 0, ""), ("ව් යාපාර", "ව්‍යාපාර", "T2", 0, ""),
+    ("ග් රාමය", "ග් රාමය", "", 1, "ග් රාමය"), ("ශ්‍රී", "ශ්‍රී", "", 0, ""), ("plain", "plain", "", 0, ""),
+]
+
+
+@query(_literal([(i, *r[1:]) for i, r in enumerate(_CONJUNCTS)], "id, repaired, tiers, kept, residual"))
+def conjunct_cases(spark, d):
+    df = spark.createDataFrame([(i, r[0]) for i, r in enumerate(_CONJUNCTS)], "id int, text string")
+    lex = spark.createDataFrame(_LEXICON, "word string, n long")
+    out = conjuncts.repaired(df, lex, "text", frozenset(["ව්‍යාපාර"]))
+    tiers = F.array_join(F.transform("repair.merges", lambda m: m["tier"]), ",")
+    return out.select("id", F.col("repair.text").alias("repaired"), tiers.alias("tiers"), F.col("repair.kept").alias("kept"), F.array_join("repair.residual", ",").alias("residual"))
+
+
 @query("SELECT split, CASE split WHEN 'train_sft' THEN 0 WHEN 'test_sft' THEN 1 WHEN 'train_gen' THEN 2 WHEN 'test_gen' THEN 3 ELSE 99 END AS place, count(*) AS n FROM dialogues GROUP BY split")
 def ordered_splits(spark, d):
     return dialogues(spark, d).groupBy("split").agg(F.count("*").alias("n")).select("split", split_order(F.col("split")).alias("place"), "n")

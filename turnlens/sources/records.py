@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
-from ..schema import RECORD, split_order
+from ..schema import RECORD
 
 _SHARD = r"^(.+?)-\d{5}-of-\d{5}.*\.parquet$"
 
@@ -26,27 +29,30 @@ def read_splits(spark: SparkSession, folder: str, splits: list[str] | None = Non
     reader = spark.read.schema(RECORD).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
     try:
         df = reader.parquet(folder)
-    except Exception as e:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise FileNotFoundError(f"no shards under {folder}") from e
     if not df.inputFiles():
         raise FileNotFoundError(f"no shards under {folder}")
-    df = df.select("*", split_of(F.col("_metadata.file_name")).alias("split"), F.struct("_metadata.file_path", F.monotonically_increasing_id()).alias("ord"))
+    df = df.select("*", split_of(F.col("_metadata.file_name")).alias("split"), F.struct("_metadata.file_path", F.monotonically_increasing_id().alias("row")).alias("ord"))
     return df.filter(F.col("split").isin(splits)) if splits else df
 
 
-def canonical_splits(df: DataFrame) -> DataFrame:
-    """The splits of ``df`` in canonical order."""
-    return df.select("split").distinct().orderBy(split_order(F.col("split")), "split")
-
-
 def read_lines(spark: SparkSession, glob: str, label: str | None = None) -> DataFrame:
-    """Lines of text files with file and order; a line ends in a newline only. Errors if nothing matches."""
+    """Lines of text files with file and order (file, then row); a line ends in a newline only. Errors if nothing matches."""
     df = spark.read.option("lineSep", "\n").text(glob).select(
-        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name"), F.monotonically_increasing_id().alias("ord")
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name"), F.struct("_metadata.file_path", F.monotonically_increasing_id().alias("row")).alias("ord")
     )
     return df.withColumn("label", F.lit(label)) if label else df
 
 
+def read_labelled(spark: SparkSession, inputs: list[str]) -> DataFrame:
+    """Lines of several inputs, each given as LABEL=glob or as a glob, which is its own label."""
+    parts = [(a, b) if eq else (a, a) for a, eq, b in (i.partition("=") for i in inputs)]
+    return reduce(DataFrame.unionByName, [read_lines(spark, glob, label) for label, glob in parts])
+
+
 def read_jsonl(spark: SparkSession, glob: str, on_bad: str = "keep") -> DataFrame:
     """Dialogue records of JSON lines; blank lines are skipped.
 

@@ -12,9 +12,11 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the session names; one of our own only where none is named."""
+    """The folder the session names; one of our own only where none is named and all workers run on this machine."""
     named = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING, None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{_SETTING} names no folder; executors on other machines need a shared one")
         named = "file://" + tempfile.mkdtemp(prefix="turnlens-")
         spark.conf.set(_SETTING, named)
     return named.rstrip("/")

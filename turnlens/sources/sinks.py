@@ -3,17 +3,32 @@
 from __future__ import annotations
 
 import json
+import warnings
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .records import read_jsonl
+
+#: Rows of a row group of converted records.
+GROUP_ROWS = 20_000
 #: Rows of a small artifact, at most; more are refused rather than collected.
 ARTIFACT_ROWS = 100_000
 
 
-def write_parquet(df: DataFrame, path: str, codec: str = "zstd") -> None:
-    df.write.mode("errorifexists").option("compression", codec).parquet(path)
+def write_parquet(df: DataFrame, path: str, codec: str = "zstd", group_rows: int | None = None) -> None:
+    """Parquet files; row groups of at most ``group_rows`` rows if given."""
+    out = df.write.mode("errorifexists").option("compression", codec)
+    if group_rows:
+        out = out.option("parquet.block.row.count.limit", group_rows)
+    out.parquet(path)
+
+
+def jsonl_to_parquet(spark: SparkSession, glob: str, path: str, codec: str = "zstd", group_rows: int = GROUP_ROWS) -> None:
+    """Records of JSON lines as Parquet with the record schema; a bad line fails the job."""
+    write_parquet(read_jsonl(spark, glob, "raise"), path, codec, group_rows)
 
 
 def write_parts(df: DataFrame, path: str, part: str = "part") -> None:
@@ -50,6 +65,20 @@ def artifact(tables: dict[str, DataFrame]) -> str:
     return json.dumps(out, ensure_ascii=False, indent=2, default=str)
 
 
+def read_artifact(spark: SparkSession, path: str) -> dict[str, object]:
+    """An artifact's results by name; empty, with a warning, if there is none."""
+    try:
+        text = spark.read.text(path, wholetext=True).first()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        text = None
+    if text is None:
+        warnings.warn(f"no artifact at {path}", stacklevel=2)
+        return {}
+    return json.loads(text["value"])
+
+
 def markdown(df: DataFrame, title: str, rows: int = 200, beside: str | None = None) -> str:
     """A heading and a table; bars in cells are escaped.
 

@@ -11,6 +11,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -36,15 +37,32 @@ def _many(translate: Translator, texts: list[str], batch: int) -> list[str]:
     return out
 
 
-def translated(records: DataFrame, make: Callable[[], Translator] = identity, mask: bool = True, limit: int = segments.LIMIT, batch: int = 96) -> DataFrame:
+def translated(
+    records: DataFrame,
+    make: Callable[[], Translator] = identity,
+    mask: bool = True,
+    limit: int = segments.LIMIT,
+    batch: int = 96,
+    count: Callable[[], segments.Counter] | None = None,
+    most: int = segments.MOST_TOKENS,
+    mend: Callable[[str], str] | None = None,
+) -> DataFrame:
     """Records with translated prompt and contents.
 
     A prompt that equals the first message shares its translation.  Null
     prompts stay null, null elements are dropped, null contents count as empty.
+    ``count`` makes a token counter, under which no segment has more than
+    ``most`` tokens; the translations of a segment's parts are joined by a
+    space.  ``mend`` is applied to every translation, as a model's decoder may
+    need it.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        translate = make()
+        model, counter = make(), count() if count else None
+
+        def translate(texts: list[str]) -> list[str]:
+            return segments.within(texts, model, counter, most, mend)
+
         for df in frames:
             texts: list[str] = []
             layout: list[tuple[list[str] | None, int]] = []
@@ -74,6 +92,16 @@ def translated(records: DataFrame, make: Callable[[], Translator] = identity, ma
     return records.select("prompt", "prompt_id", "messages").mapInPandas(run, TRANSLATED)
 
 
+def done_so_far(spark: SparkSession, out: str) -> DataFrame | None:
+    """Ids already written under ``out``; None before the first run."""
+    try:
+        return spark.read.schema(RECORD).json(out).select("prompt_id")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def translate_batch(records: DataFrame, done: DataFrame | None, out: str, make: Callable[[], Translator] = identity) -> None:
     """Translate what is not yet done and append it; ids done before, null included, are left out."""
     todo = records if done is None else not_yet_done(records, done)
