@@ -7,6 +7,8 @@ twins for engines without look-around, used by the SQL checks.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -80,9 +82,24 @@ RE2: dict[str, str] = {
 }
 
 
+#: What a text must hold, one of them at least, for a detector to be tried: a byte search saves most patterns.
+NEEDED: dict[str, tuple[str, ...]] = {
+    "code_fence": ("```",), "inline_code": ("`",), "url": ("://", "www."), "email": ("@",), "markdown_table": ("|",), "bullet_list": ("-", "*", "+"),
+    "numbered_list": (".", ")"), "heading": ("#",), "latex_math": ("\\", "$"), "html_tag": ("<",), "md_link": ("](",), "emphasis": ("*", "_"),
+}
+
+
+def beyond_ascii(text: Column) -> Column:
+    """Does a text hold a character of more than one byte?"""
+    return F.octet_length(text) > F.length(text)
+
+
 def has(name: str, text: Column) -> Column:
     """Does the text show the feature?"""
-    return text.rlike(DETECTORS[name])
+    hit = text.rlike(DETECTORS[name])
+    if name not in NEEDED:  # emoji
+        return beyond_ascii(text) & hit
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(sign)) for sign in NEEDED[name]]) & hit
 
 
 #: A character of any of the scripts.
@@ -90,4 +107,4 @@ ANY_SCRIPT = "[" + "".join(rf"\p{{Is{s}}}" for s in SCRIPTS) + "]"
 
 
 def has_script(script: str, text: Column) -> Column:
-    return text.rlike(rf"\p{{Is{script}}}")
+    return beyond_ascii(text) & text.rlike(rf"\p{{Is{script}}}")

@@ -134,9 +134,9 @@ def unicode_profile(dialogues: DataFrame) -> DataFrame:
     c = F.col("content")
     m = messages_of(dialogues, "split").select(
         "split",
-        text.count_of(c, P.NON_ASCII).alias("non_ascii"),
-        text.count_of(c, P.TYPOGRAPHIC).alias("typographic"),
-        c.rlike(P.ANY_SCRIPT).alias("script"),
+        F.when(P.beyond_ascii(c), text.count_of(c, P.NON_ASCII)).otherwise(0).alias("non_ascii"),
+        F.when(P.beyond_ascii(c), text.count_of(c, P.TYPOGRAPHIC)).otherwise(0).alias("typographic"),
+        (P.beyond_ascii(c) & c.rlike(P.ANY_SCRIPT)).alias("script"),
     )
     return _per_split(
         m,
@@ -155,7 +155,7 @@ def scripts(dialogues: DataFrame) -> DataFrame:
     """Messages holding each script, most frequent first; scripts that do not occur are left out."""
     c = F.col("content")
     hits = F.array(*[F.when(P.has_script(s, c), F.lit(s)) for s in P.SCRIPTS])
-    m = messages_of(dialogues, "split").filter(c.rlike(P.NON_ASCII)).select("split", F.explode(F.array_compact(hits)).alias("script"))
+    m = messages_of(dialogues, "split").filter(P.beyond_ascii(c) & c.rlike(P.ANY_SCRIPT)).select("split", F.explode(F.array_compact(hits)).alias("script"))
     return m.groupBy("split", "script").agg(F.count("*").alias("n"))
 
 
