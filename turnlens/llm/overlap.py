@@ -126,7 +126,7 @@ def prefixes(words: np.ndarray, off: np.ndarray, place: np.ndarray) -> tuple[np.
     x = place[x >> low].astype(np.uint64) << np.uint64(low) | (x & np.uint32((1 << low) - 1)).astype(np.uint64)
     owner = np.repeat(np.arange(n.size, dtype=np.uint64), n)
     x = np.sort(owner << np.uint64(32) | x).astype(np.uint32)
-    size = np.minimum(n, n - needed(n) + 1 + n // LEAST)
+    size = prefix_size(n, 0)
     keep = np.arange(x.size) - np.repeat(off[:-1], n) < np.repeat(size, n)
     return x[keep], np.concatenate(([0], np.cumsum(size)))
 
@@ -179,37 +179,63 @@ def _prefix_rows(reps: DataFrame, place: np.ndarray) -> DataFrame:
     return reps.mapInArrow(run, "rep long, test int, train int, n int, size int, own int, low int, high int, prefix binary")
 
 
+def prefix_size(n: np.ndarray, least: np.ndarray | int) -> np.ndarray:
+    """Words of a prefix for overlaps with dialogues of ``least`` or more words."""
+    return np.clip(n - needed(np.maximum(n, least)) + 1 + n // LEAST, 0, n)
+
+
 def meetings(t: pa.Table, r: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of two blocks whose prefixes share enough words for an overlap."""
+    """Rows of two blocks whose prefixes share enough words for an overlap.
+
+    Where one side is longer, it asks for more words, and the other's prefix is
+    cut accordingly: tests are taken by their length class.
+    """
     (x, xoff), (y, yoff) = _hashes(t["prefix"]), _hashes(r["prefix"])
     tn, rn = t["n"].to_numpy().astype(np.int64), r["n"].to_numpy().astype(np.int64)
     owner = np.repeat(np.arange(rn.size), np.diff(yoff))
+    place = (np.arange(y.size) - yoff[owner]).astype(np.int32)
     order = np.argsort(y, kind="stable")
-    y, owner = y[order], owner[order]
-    lo, hi = np.searchsorted(y, x, "left"), np.searchsorted(y, x, "right")
-    met = hi > lo
-    moff = np.concatenate(([0], np.cumsum(met)))[xoff].tolist()
-    lo, hi = lo[met], hi[met]
-    t_spare, r_spare = np.diff(xoff) - tn, np.diff(yoff) - rn
-    # fewest words that any pair of the dialogue must share here
-    fewest = np.minimum(t_spare + needed(tn), (r_spare + needed(rn)).min())
+    y, owner, place = y[order], owner[order], place[order]
+    shortest = rn.min()
+    t_size = prefix_size(tn, shortest)
+    kinds = length_class(tn)
     left, right = [], []
-    for i in range(tn.size):
-        a, b = moff[i], moff[i + 1]
-        if a == b:
-            continue
-        shared = np.bincount(np.concatenate([owner[p:q] for p, q in zip(lo[a:b].tolist(), hi[a:b].tolist())]))
-        j = np.flatnonzero(shared >= fewest[i])
-        if not j.size:
-            continue
-        least = needed(np.maximum(tn[i], rn[j]))
-        j = j[(np.minimum(tn[i], rn[j]) >= least) & (shared[j] >= least + np.minimum(t_spare[i], r_spare[j]))]
-        left.append(np.full(j.size, i))
-        right.append(j)
+    for kind in np.unique(kinds):
+        rows = np.flatnonzero(kinds == kind)
+        least_t = tn[rows].min()
+        r_size = prefix_size(rn, least_t)
+        keep = place < r_size[owner]
+        words, holder = y[keep], owner[keep]
+        own = _ranges(xoff[rows], t_size[rows])
+        off = np.concatenate(([0], np.cumsum(t_size[rows])))
+        lo, hi = np.searchsorted(words, x[own], "left"), np.searchsorted(words, x[own], "right")
+        met = hi > lo
+        moff = np.concatenate(([0], np.cumsum(met)))[off].tolist()
+        lo, hi = lo[met].tolist(), hi[met].tolist()
+        t_spare, r_spare = t_size - tn, r_size - rn
+        # fewest words that any pair of the dialogue must share here
+        fewest = np.minimum((t_spare + needed(np.maximum(tn, shortest)))[rows], (r_spare + needed(np.maximum(rn, least_t))).min())
+        for k, i in enumerate(rows.tolist()):
+            a, b = moff[k], moff[k + 1]
+            if b - a < fewest[k]:
+                continue
+            shared = np.bincount(np.concatenate([holder[p:q] for p, q in zip(lo[a:b], hi[a:b])]))
+            j = np.flatnonzero(shared >= fewest[k])
+            if not j.size:
+                continue
+            least = needed(np.maximum(tn[i], rn[j]))
+            j = j[(np.minimum(tn[i], rn[j]) >= least) & (shared[j] >= least + np.minimum(t_spare[i], r_spare[j]))]
+            left.append(np.full(j.size, i))
+            right.append(j)
     none = np.zeros(0, np.int64)
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... for size[0] numbers, then the same for the others."""
+    return np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
+
+
 def candidates(rows: DataFrame) -> DataFrame:
     """(t, r): a test and a train class whose prefixes meet."""
 
