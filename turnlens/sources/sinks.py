@@ -6,8 +6,8 @@ import json
 import warnings
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .records import read_jsonl
@@ -46,12 +46,21 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 
 def rewrite_lines(lines: DataFrame, path: str, line: str = "line") -> int:
-    """Write repaired JSON lines to a new place, unless one of them no longer parses; returns their number."""
-    checked = lines.agg(F.count("*").alias("n"), F.count_if(F.try_parse_json(line).isNull()).alias("bad")).first()
-    if checked["bad"]:
-        raise ValueError(f"{checked['bad']} of {checked['n']} lines are not JSON; nothing was written")
-    lines.select(F.col(line).alias("value")).write.mode("errorifexists").text(path)
-    return checked["n"]
+    """Write repaired JSON lines to a new place, unless one of them no longer parses; returns their number.
+
+    The lines are read once: the first that does not parse ends the job, and
+    what it had written is not committed.
+    """
+    says = "a line is not JSON; nothing was written"
+    whole = F.when(F.try_parse_json(line).isNotNull(), F.col(line)).otherwise(F.raise_error(F.lit(says)))
+    seen = Observation()
+    try:
+        lines.select(whole.alias("value")).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").text(path)
+    except PySparkException as e:
+        if says in str(e):
+            raise ValueError(says) from e
+        raise
+    return seen.get["n"]
 
 
 def artifact(tables: dict[str, DataFrame]) -> str:
