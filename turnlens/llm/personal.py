@@ -289,12 +289,12 @@ def disclosing_forms(raw: DataFrame) -> DataFrame:
     other = seen.filter("kind = 'other'").groupBy("context").agg(F.sum("n").alias("n_other"))
     of_kind = seen.filter("kind <> 'other'").groupBy("kind", "context").agg(F.sum("n").alias("n_kind"))
     size = seen.groupBy("kind").agg(F.sum("n").alias("size"))  # a row per kind
-    others = seen.agg(F.coalesce(F.sum(F.when(F.col("kind") == "other", F.col("n"))), F.lit(0)).alias("size_other"))  # one row
-    terms = seen.filter("kind <> 'other'").join(of_kind, ["kind", "context"]).join(other, "context", "left").join(F.broadcast(size), "kind").join(F.broadcast(others))
+    size_other = seen.filter("kind = 'other'").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    terms = seen.filter("kind <> 'other'").join(of_kind, ["kind", "context"]).join(other, "context", "left").join(F.broadcast(size), "kind")
     own = Window.partitionBy("kind", "term")
     rest, elsewhere, total = F.col("n_kind") - F.col("n"), F.coalesce("n_other", F.lit(0)), F.col("size") - F.sum("n").over(own)
     # a context met nowhere else tells nothing; one count is spread over what has not been met
-    tells = F.when(rest + elsewhere > 0, F.log2((rest + 0.5) / (total + 1.0)) - F.log2((elsewhere + 0.5) / (F.col("size_other") + 1.0))).otherwise(0.0)
+    tells = F.when(rest + elsewhere > 0, F.log2((rest + 0.5) / (total + 1.0)) - F.log2((elsewhere + 0.5) / (size_other + 1.0))).otherwise(0.0)
     bits = F.sum("told") / 3 + PRIOR  # the three contexts of a value overlap
     return terms.select("kind", "term", (F.col("n") * tells).alias("told")).groupBy("kind", "term").agg(bits.alias("bits")).filter("bits > 0")
 
@@ -309,12 +309,11 @@ def _disclosing(shapes: DataFrame, given: DataFrame, family: DataFrame) -> tuple
     known = shapes.join(given.withColumn("g", yes), "given", "left").join(family.withColumn("f", yes), "family", "left")
     known = known.withColumns({"g": F.coalesce("g", F.lit(False)), "f": F.coalesce("f", F.lit(False))})
     entity = F.count_if(F.col("g") & F.col("f"))
-    base = known.agg(F.try_divide(entity, F.count("*")).alias("base"))
+    base = F.lit(known.agg(F.try_divide(entity, F.count("*")).alias("base")).first()["base"]).cast("double")
     context = (
         known.groupBy("after")
         .agg(entity.alias("hit"), F.count("*").alias("n"))
-        .crossJoin(F.broadcast(base))  # one row
-        .filter(_bits(F.col("hit"), F.col("n"), F.col("base")) > CONTEXT_BITS)
+        .filter(_bits(F.col("hit"), F.col("n"), base) > CONTEXT_BITS)
         .select("after", yes.alias("revealing"))
     )
     told = known.join(context, "after", "left").withColumn("revealing", F.coalesce("revealing", F.lit(False)))
