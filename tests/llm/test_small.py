@@ -397,6 +397,19 @@ def test_long_texts_are_counted_in_chunks(spark, monkeypatch, model):
         assert sum(r["dialogue_roles"] for r in table if r["kept"] == kept) == len(got)
 
 
+def test_tokens_of_nothing_and_of_repeated_rows(spark, model):
+    vocab = spark.createDataFrame([("▁a", -1.0), (None, None), ("<unk>", 0.0)], "piece string, score double")
+    none = make(spark, ODD).filter("record_id < 0")
+    assert tokens.dialogue_tokens(none, vocab, model).count() == 0
+    assert all(r["tokens"] is None for r in tokens.budget(tokens.token_rows(none, vocab, model)).collect())
+    twice = make(spark, [dialogue(1, [("a a", U)])] * 2)
+    assert [(r["turns"], r["tokens"]) for r in tokens.dialogue_tokens(twice, vocab, model).collect()] == [(2, 4)]
+    counter = tokens.PieceList([("▁a", -1.0)])
+    texts = spark.createDataFrame([(1, "a a", "x"), (2, None, "x"), (3, "", "x"), (3, "a", "x")], "doc_id long, text string, tokens string")
+    assert sorted((r["doc_id"], r["tokens"]) for r in tokens.sizes(texts, counter, "doc_id").collect()) == [(1, 2), (2, 0), (3, 0), (3, 1)]
+    assert tokens.sizes(texts.filter("doc_id < 0"), counter, "doc_id").count() == 0
+
+
 def test_texts_are_cut_only_where_it_is_proved():
     rng = random.Random(21)
     cases = [
@@ -543,8 +556,9 @@ def edit_distance_inside(pattern, text):
     return min(row)
 
 
-@pytest.mark.parametrize("edits", [1, 2, 3])
-def test_passages_within_the_edit_budget_against_brute_force(edits):
+@pytest.mark.parametrize("edits, hits", [(1, 10**6), (2, 10**6), (3, 10**6), (1, 20), (2, 300)])
+def test_passages_within_the_edit_budget_against_brute_force(edits, hits, monkeypatch):
+    monkeypatch.setattr(passages, "HITS", hits)  # documents are looked at in parts
     rng = random.Random(20 + edits)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8)))
     items = [" ".join(word() for _ in range(rng.randint(12, 16))) for _ in range(12)]
@@ -556,7 +570,9 @@ def test_passages_within_the_edit_budget_against_brute_force(edits):
             t = rng.choice([t[:at] + rng.choice("abcdefgh") + t[at:], t[:at] + t[at + 1 :], t[: at - 1] + t[at : at + 1] + t[at - 1 : at] + t[at + 1 :]])
         docs.append(" ".join(word() for _ in range(10)) + " " + t + " " + " ".join(word() for _ in range(10)))
     index = passages.ItemIndex(list(range(12)), items, edits=edits)
-    got = {(d, i): (w, m) for d, i, w, m in index.search(passages.reduce(docs, index.q))}
+    got: dict[tuple[int, int], tuple[int, int]] = {}
+    for d, i, w, m in index.search(passages.reduce(docs, index.q)):
+        got[d, i] = max((w, m), got.get((d, i), (0, 0)))
     want = set()
     for d, t in enumerate(docs):
         for i, item in enumerate(items):
@@ -566,6 +582,14 @@ def test_passages_within_the_edit_budget_against_brute_force(edits):
     assert set(got) == want and any(w < 12 for w, _ in got.values())
 
 
+def test_passages_of_repetitive_texts(spark):
+    """Every Q-gram of the item stands everywhere in the document."""
+    item = " ".join(["no"] * 20)
+    df = spark.createDataFrame([(1, " ".join(["no"] * 3000)), (2, "no " * 11), (3, None)], "doc_id long, text string")
+    it = spark.createDataFrame([(7, item), (8, item), (9, "")], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"], r["words"]) for r in passages.leaks(df, it).collect()} == {(1, 7, 20), (1, 8, 20)}
+
+
 def test_edited_passages(spark):
     item = "the quiet ferry captain measures an old bridge for seven days before harvest"  # 13 words
     docs = [(1, "So " + item.replace("ferry", "fery") + " now"), (2, item.replace("captain", "cpatain")), (3, item), (4, item.replace("bridge", "canal")), (5, None)]

@@ -43,7 +43,7 @@ BAND = 16
 #: Items, and their characters, held by a task at once (one longer item is a block by itself).
 ITEM_BLOCK, ITEM_CHARS = 20_000, 20_000_000
 #: Shared Q-grams looked at together, about, and diagonals aligned together.
-HITS, DIAGONALS = 2_000_000, 64
+HITS, DIAGONALS = 1_000_000, 64
 _FILTER_BITS = 22
 
 
@@ -127,14 +127,21 @@ class ItemIndex:
         met = hi > lo
         maybe, lo, n = maybe[met], lo[met], (hi - lo)[met]
         doc = np.searchsorted(docs.off, maybe, "right") - 1
-        # whole documents at a time
+        # some documents at a time; of one with more shared Q-grams (it and an item repeat
+        # themselves) some positions and, so that every stretch is seen whole, an item's length more
         out = []
         ends = np.cumsum(n)
         at = 0
+        longest = int(np.diff(self.stream.off).max()) + 2 * BAND
         while at < maybe.size:
             to = max(int(np.searchsorted(ends, (ends[at - 1] if at else 0) + HITS, "right")), at + 1)
-            to = int(np.searchsorted(doc, doc[to - 1], "right"))
-            out += self._judged(docs, maybe[at:to], doc[at:to], lo[at:to], n[at:to])
+            first = int(np.searchsorted(doc, doc[to - 1], "left"))
+            if to < maybe.size and doc[to] == doc[to - 1] and first > at:
+                to = first  # the last document begins the next part
+            upto = to
+            if to < maybe.size and doc[to] == doc[to - 1]:
+                upto = int(np.searchsorted(maybe, maybe[to - 1] + longest, "right"))
+            out += self._judged(docs, maybe[at:upto], doc[at:upto], lo[at:upto], n[at:upto])
             at = to
         return out
 
