@@ -58,6 +58,8 @@ BLANKS = "͏ᅟᅠ឴឵᠋᠌᠍᠎ㅤﾠ⠀"
 _SCRIPTS = ("Latin", "Cyrillic", "Greek", "Armenian", "Cherokee", "Lisu", "Coptic", "Sinhala")
 _SCRIPT_RE = {s: regex.compile(rf"\p{{Script={s}}}") for s in _SCRIPTS}
 _CONFUSABLE = frozenset(_SCRIPTS) - {"Latin", "Sinhala"}
+#: A letter with a look-alike in plain letters, or of a script that has such letters.
+_ODD = regex.compile("[" + "".join(map(re.escape, LETTERS)) + "".join(rf"\p{{Script={s}}}" for s in sorted(_CONFUSABLE)) + "]")
 _TOKEN = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
@@ -150,6 +152,8 @@ def _spell(token: str) -> tuple[str, bool]:
 
 def _consistent(text: str) -> str:
     """The text with confusable tokens in the script of the tokens around them."""
+    if not _ODD.search(text):
+        return text
     tokens = [(m.start(), m.group()) for m in _TOKEN.finditer(text)]
     # a letter without look-alike settles a token's script
     settled = [next((s for ch in t if ch not in LETTERS and not ch.isascii() for s in (scripts(ch),) if len(s) == 1 and not s & {"Latin", "other"}), None) for _, t in tokens]
