@@ -5,6 +5,7 @@ import re
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -246,6 +247,37 @@ def test_scattered_changes_are_found(spark):
     assert got == want and len(want) > 30
 
 
+def test_few_chance_candidates(spark):
+    """Texts of the same few words, none near another, hardly ever come to be compared word by word."""
+    rng = random.Random(3)
+    vocab = [f"w{i}" for i in range(130)]
+    odds = [1 / (i + 8) for i in range(len(vocab))]
+    rows = [dialogue(i, [(" ".join(rng.choices(vocab, odds, k=220)), U)], split="test_sft" if i % 4 == 0 else "train_sft") for i in range(240)]
+    signed = overlap.signatures(make(spark, rows).selectExpr("record_id", "IF(split LIKE 'test%', 1, 0) AS side", "messages"))
+    reps = signed.selectExpr("record_id AS rep", "side AS test", "side AS train", "n", "words")
+    met = overlap.candidates(overlap._prefix_rows(reps, overlap._order(signed))).count()
+    assert met <= 60 * 180 // 100
+
+
+@pytest.mark.parametrize("trains, dense", [(8192, 1024), (64, 4), (20, 1)])
+def test_meetings_against_brute_force(monkeypatch, trains, dense):
+    """Words kept as bits or as lists, in one part or in several: no overlap of the bags is lost."""
+    monkeypatch.setattr(overlap, "TRAINS", trains)
+    monkeypatch.setattr(overlap, "DENSE", dense)
+    rng = np.random.default_rng(8)
+    made = [rng.integers(0, 90, int(n)).astype(np.uint32) for n in rng.integers(1, 130, 90)]
+    other = [np.where(rng.random(w.size) < rng.choice([0, 0.1, 0.2, 0.25]), rng.integers(0, 90, w.size), w).astype(np.uint32) for w in made]
+    place = rng.permutation(1 << overlap.ORDER_BITS).astype(np.uint32)
+    tables = []
+    for side in (made, other):
+        x, off, last = overlap.prefixes(np.concatenate(side), np.concatenate(([0], np.cumsum([w.size for w in side]))), place)
+        tables.append(pa.table({"n": [w.size for w in side], "last": last.astype(np.int64), "prefix": pa.array([x[a:b].tobytes() for a, b in zip(off[:-1], off[1:])], pa.binary())}))
+    got = set(zip(*(x.tolist() for x in overlap.meetings(*tables))))
+    bags = [[np.bincount(w, minlength=90) for w in side] for side in (made, other)]
+    want = {(i, j) for i, a in enumerate(bags[0]) for j, b in enumerate(bags[1]) if np.minimum(a, b).sum() >= 0.75 * max(a.sum(), b.sum())}
+    assert want <= got and len(want) > 60
+
+
 # --- languages ----------------------------------------------------------------
 
 SAMPLES = {

@@ -9,7 +9,9 @@ the first n - ceil(SHARE * n) + l of the one and m - ceil(SHARE * m) + l of the
 other, so pairs whose prefixes share fewer are out and no pair of the
 definition is lost.  l grows with the length (LEAST), as a longer prefix leaves
 fewer chance candidates.  Prefixes are counted against each other in blocks of
-test and train dialogues whose lengths allow the overlap.
+train dialogues, past which the tests stream whose lengths allow the overlap.
+A block keeps a set of bits for each frequent word, one by train dialogue, and
+the sets of a test's words are added up by binary adders, 64 trains at a time.
 
 What is left is verified on the words: the exact Jaccard similarity of the two
 bags of words must reach the bound that follows from the wanted overlap, and
@@ -18,6 +20,7 @@ overlap is TESTDATA.md's (three quarters of the words, in order).
 
 Where most dialogues are made of the same few thousand words the count is
 quadratic in the classes: a prefix without common words does not exist there.
+Tests are shuffled once per block of trains, and trains once.
 """
 
 from __future__ import annotations
@@ -36,11 +39,15 @@ from .unify import unify_all
 
 SHARE = 0.75
 #: Words the prefixes of two dialogues must share: one and a LEAST-th of the words.
-LEAST = 6
+LEAST = 3
 #: Length classes in a step of 1 / SHARE.
 STEPS = 2
-#: Prefix words of a block, at most (one longer dialogue makes one longer block).
-PREFIX_WORDS = 4_000_000
+#: Prefix words of a block of trains and of the tests that meet it at once, about (a longer dialogue makes more).
+TRAIN_WORDS, TEST_WORDS = 16_000_000, 4_000_000
+#: Trains that are counted at once, and the share of them from which a word's holders are kept as bits.
+TRAINS, DENSE = 1 << 13, 1024
+#: Bits of the rows that are added up at once, about.
+ROW_BITS = 1 << 17
 #: Records whose words set the order, about, and the bits of their hashes that are counted.
 ORDER_ROWS, ORDER_BITS = 20_000, 18
 #: Bound on the records whose ids are broadcast to fetch their texts; beyond it the ids are shuffled.
@@ -114,8 +121,8 @@ def needed(n: np.ndarray) -> np.ndarray:
     return np.ceil(SHARE * n - 1e-9).astype(np.int64)
 
 
-def prefixes(words: np.ndarray, off: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each record's first words in the order of all, and their offsets.
+def prefixes(words: np.ndarray, off: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each record's first words in the order of all, their offsets, and the record's last word.
 
     ``place`` holds the places of the first bits of a word's hash; the word
     itself is given as its place and its other bits, which is a place of its own.
@@ -128,7 +135,7 @@ def prefixes(words: np.ndarray, off: np.ndarray, place: np.ndarray) -> tuple[np.
     x = np.sort(owner << np.uint64(32) | x).astype(np.uint32)
     size = prefix_size(n, 0)
     keep = np.arange(x.size) - np.repeat(off[:-1], n) < np.repeat(size, n)
-    return x[keep], np.concatenate(([0], np.cumsum(size)))
+    return x[keep], np.concatenate(([0], np.cumsum(size))), x[off[1:] - 1]
 
 
 def length_class(n: np.ndarray) -> np.ndarray:
@@ -163,20 +170,21 @@ def _prefix_rows(reps: DataFrame, place: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = np.asarray(batch.column("n")).astype(np.int64)
-            x, off = prefixes(*_hashes(batch.column("words")), held.value)
+            x, off, last = prefixes(*_hashes(batch.column("words")), held.value)
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(c) for c in ("rep", "test", "train", "n")),
                     pa.array(np.diff(off).astype(np.int32)),
+                    pa.array(last.astype(np.int64)),
                     pa.array(length_class(n)),
                     pa.array(length_class(needed(n))),
                     pa.array(length_class(np.floor(n / SHARE + 1e-9))),
                     pa.array([x[off[i] : off[i + 1]].tobytes() for i in range(n.size)], pa.binary()),
                 ],
-                ["rep", "test", "train", "n", "size", "own", "low", "high", "prefix"],
+                ["rep", "test", "train", "n", "size", "last", "own", "low", "high", "prefix"],
             )
 
-    return reps.mapInArrow(run, "rep long, test int, train int, n int, size int, own int, low int, high int, prefix binary")
+    return reps.mapInArrow(run, "rep long, test int, train int, n int, size int, last long, own int, low int, high int, prefix binary")
 
 
 def prefix_size(n: np.ndarray, least: np.ndarray | int) -> np.ndarray:
@@ -184,49 +192,163 @@ def prefix_size(n: np.ndarray, least: np.ndarray | int) -> np.ndarray:
     return np.clip(n - needed(np.maximum(n, least)) + 1 + n // LEAST, 0, n)
 
 
+class Holders:
+    """The words of some train dialogues with the dialogues that hold them.
+
+    ``words`` and ``holder`` are sorted by word, then by holder.
+    """
+
+    def __init__(self, words: np.ndarray, holder: np.ndarray, trains: int):
+        new = np.ones(words.size, bool)
+        new[1:] = words[1:] != words[:-1]
+        start = np.flatnonzero(new)
+        self.words, self.holder, self.trains = words[start], holder, trains
+        self.at = np.append(start, words.size)
+        df = np.diff(self.at)
+        dense = df * DENSE >= trains
+        #: Row of a word's bits, -1 for the words that are kept as lists.
+        self.row = np.where(dense, np.cumsum(dense) - 1, -1)
+        width = -(-trains // 64)
+        # the last row has no holders
+        self.bits = np.zeros((int(dense.sum()) + 1, width), np.uint64)
+        own = np.repeat(dense, df)
+        held = holder[own]
+        cell = np.repeat(self.row, df)[own] * width + (held >> 6)
+        if cell.size:
+            first = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+            self.bits.reshape(-1)[cell[first]] = np.bitwise_or.reduceat(np.uint64(1) << (held & 63).astype(np.uint64), first)
+
+    def listed(self, at: np.ndarray) -> np.ndarray:
+        """How many of some words each dialogue holds, from the lists."""
+        return np.bincount(np.concatenate([self.holder[self.at[i] : self.at[i + 1]] for i in at.tolist()]), minlength=self.trains)
+
+    def sharing(self, at: np.ndarray, off: np.ndarray, fewest: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each test with words here the dialogues that hold at least ``fewest`` of its words, and how many they hold.
+
+        ``at`` has the index of each word that is held, ``off`` its offsets by test.
+        """
+        row = self.row[at]
+        dense = row >= 0
+        doff = np.concatenate(([0], np.cumsum(dense)))[off]
+        lists, row = at[~dense], row[dense]
+        loff, many = off - doff, np.diff(doff)
+        # what the bits must show if a dialogue holds all words that are kept as lists
+        least = fewest - np.diff(loff)
+        for i in np.flatnonzero((least <= 0) & (np.diff(off) >= fewest)).tolist():
+            shared = self.listed(at[off[i] : off[i + 1]])
+            j = np.flatnonzero(shared >= fewest[i])
+            yield i, j, shared[j]
+        todo = np.flatnonzero((least > 0) & (many >= least))
+        todo = todo[np.argsort(many[todo], kind="stable")]
+        width = self.bits.shape[1]
+        step = max(1, ROW_BITS // (64 * width))
+        for lo in range(0, todo.size, step):
+            tests = todo[lo : lo + step]
+            index = np.full((many[tests[-1]], tests.size), len(self.bits) - 1)
+            for k, i in enumerate(tests.tolist()):
+                index[: many[i], k] = row[doff[i] : doff[i + 1]]
+            planes = [x.reshape(tests.size, width) for x in _added(self.bits.take(index, 0).reshape(len(index), -1))]
+            reach = _at_least(planes, least[tests])
+            k, word = np.nonzero(reach)
+            if not k.size:
+                continue
+            place, bit = np.nonzero(np.unpackbits(reach[k, word].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+            k, word = k[place], word[place]
+            shared = np.zeros(k.size, np.int64)
+            for e, plane in enumerate(planes):
+                shared += (plane[k, word] >> bit.astype(np.uint64) & np.uint64(1)).astype(np.int64) << e
+            j = word * 64 + bit
+            cut = np.searchsorted(k, np.arange(tests.size + 1))
+            for i, a, b in zip(tests.tolist(), cut[:-1].tolist(), cut[1:].tolist()):
+                if b > a:
+                    total = shared[a:b] + (self.listed(lists[loff[i] : loff[i + 1]])[j[a:b]] if loff[i + 1] > loff[i] else 0)
+                    keep = total >= fewest[i]
+                    yield i, j[a:b][keep], total[keep]
+
+
+def _added(rows: np.ndarray) -> list[np.ndarray]:
+    """The sum of the rows at every bit, as binary digits from the lowest on; the rows are used up."""
+    planes = []
+    spare, odd = np.empty((len(rows) // 2 + 1, rows.shape[1]), np.uint64), np.empty((len(rows) // 3 + 1, rows.shape[1]), np.uint64)
+    n = len(rows)
+    while n:
+        done = 0
+        while n > 1:
+            k = max(1, n // 3)
+            a, b, x, out = rows[:k], rows[k : 2 * k], odd[:k], spare[done : done + k]
+            np.bitwise_xor(a, b, out=x)
+            np.bitwise_and(a, b, out=out)
+            if n == 2:
+                rows = x
+            else:
+                c = rows[2 * k : 3 * k]
+                np.bitwise_and(x, c, out=a)
+                out |= a
+                c ^= x
+                rows = rows[2 * k : n]
+            done, n = done + k, n - 2 * k if n > 2 else 1
+        planes.append(rows[0].copy())
+        rows, spare, n = spare, np.empty((done // 2 + 1, rows.shape[1]), np.uint64), done
+    return planes
+
+
+def _at_least(planes: list[np.ndarray], least: np.ndarray) -> np.ndarray:
+    """Bits at which sums given by their digits reach a number, one by row."""
+    more, same = np.zeros_like(planes[0]), ~np.zeros_like(planes[0])
+    for k in range(len(planes) - 1, -1, -1):
+        digit = np.where(least >> k & 1, ~np.uint64(0), np.uint64(0))[:, None]
+        more |= same & planes[k] & ~digit
+        same &= ~(planes[k] ^ digit)
+    return more | same
+
+
 def meetings(t: pa.Table, r: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Rows of two blocks whose prefixes share enough words for an overlap.
 
     Where one side is longer, it asks for more words, and the other's prefix is
-    cut accordingly: tests are taken by their length class.
+    cut accordingly: tests are taken by their length class.  Trains are taken
+    by their commonest word, which most often tells the language, so that the
+    words of a test are not looked for among all of another language's trains.
     """
-    (x, xoff), (y, yoff) = _hashes(t["prefix"]), _hashes(r["prefix"])
-    tn, rn = t["n"].to_numpy().astype(np.int64), r["n"].to_numpy().astype(np.int64)
-    owner = np.repeat(np.arange(rn.size), np.diff(yoff))
-    place = (np.arange(y.size) - yoff[owner]).astype(np.int32)
-    order = np.argsort(y, kind="stable")
-    y, owner, place = y[order], owner[order], place[order]
-    shortest = rn.min()
-    t_size = prefix_size(tn, shortest)
+    x, xoff = _hashes(t["prefix"])
+    tn, all_n = t["n"].to_numpy().astype(np.int64), r["n"].to_numpy().astype(np.int64)
     kinds = length_class(tn)
+    by_last = np.argsort(r["last"].to_numpy(), kind="stable")
+    prefix = r["prefix"].combine_chunks()
     left, right = [], []
-    for kind in np.unique(kinds):
-        rows = np.flatnonzero(kinds == kind)
-        least_t = tn[rows].min()
-        r_size = prefix_size(rn, least_t)
-        keep = place < r_size[owner]
-        words, holder = y[keep], owner[keep]
-        own = _ranges(xoff[rows], t_size[rows])
-        off = np.concatenate(([0], np.cumsum(t_size[rows])))
-        lo, hi = np.searchsorted(words, x[own], "left"), np.searchsorted(words, x[own], "right")
-        met = hi > lo
-        moff = np.concatenate(([0], np.cumsum(met)))[off].tolist()
-        lo, hi = lo[met].tolist(), hi[met].tolist()
-        t_spare, r_spare = t_size - tn, r_size - rn
-        # fewest words that any pair of the dialogue must share here
-        fewest = np.minimum((t_spare + needed(np.maximum(tn, shortest)))[rows], (r_spare + needed(np.maximum(rn, least_t))).min())
-        for k, i in enumerate(rows.tolist()):
-            a, b = moff[k], moff[k + 1]
-            if b - a < fewest[k]:
+    for part in range(0, by_last.size, TRAINS):
+        some = by_last[part : part + TRAINS]
+        rn = all_n[some]
+        y, yoff = _hashes(prefix.take(pa.array(some)))
+        owner = np.repeat(np.arange(rn.size), np.diff(yoff))
+        place = (np.arange(y.size) - yoff[owner]).astype(np.int32)
+        order = np.argsort(y, kind="stable")
+        y, owner, place = y[order], owner[order], place[order]
+        shortest = rn.min()
+        t_size = prefix_size(tn, shortest)
+        for kind in np.unique(kinds):
+            rows = np.flatnonzero(kinds == kind)
+            least_t = tn[rows].min()
+            r_size = prefix_size(rn, least_t)
+            keep = place < r_size[owner]
+            held = Holders(y[keep], owner[keep], rn.size)
+            if not held.words.size:
                 continue
-            shared = np.bincount(np.concatenate([holder[p:q] for p, q in zip(lo[a:b], hi[a:b])]))
-            j = np.flatnonzero(shared >= fewest[k])
-            if not j.size:
-                continue
-            least = needed(np.maximum(tn[i], rn[j]))
-            j = j[(np.minimum(tn[i], rn[j]) >= least) & (shared[j] >= least + np.minimum(t_spare[i], r_spare[j]))]
-            left.append(np.full(j.size, i))
-            right.append(j)
+            own = x[_ranges(xoff[rows], t_size[rows])]
+            off = np.concatenate(([0], np.cumsum(t_size[rows])))
+            at = np.searchsorted(held.words, own)
+            at[at == held.words.size] = 0
+            met = held.words[at] == own
+            off = np.concatenate(([0], np.cumsum(met)))[off]
+            t_spare, r_spare = t_size - tn, r_size - rn
+            # fewest words that any pair of the dialogue must share here
+            fewest = np.minimum((t_spare + needed(np.maximum(tn, shortest)))[rows], (r_spare + needed(np.maximum(rn, least_t))).min())
+            for k, j, shared in held.sharing(at[met], off, fewest):
+                i = rows[k]
+                least = needed(np.maximum(tn[i], rn[j]))
+                j = j[(np.minimum(tn[i], rn[j]) >= least) & (shared >= least + np.minimum(t_spare[i], r_spare[j]))]
+                left.append(np.full(j.size, i))
+                right.append(some[j])
     none = np.zeros(0, np.int64)
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
@@ -238,33 +360,50 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def candidates(rows: DataFrame) -> DataFrame:
     """(t, r): a test and a train class whose prefixes meet."""
+    columns = ["own", "block", "side", "rep", "n", "last", "prefix"]
+    r = rows.filter("train = 0").withColumn("side", F.lit(0))
+    # as many rows as there are length classes
+    size = r.groupBy("own").agg(F.ceil(F.sum("size") / TRAIN_WORDS).cast("int").alias("blocks")).collect()
+    if not size:
+        return rows.sparkSession.createDataFrame([], "t long, r long")
+    blocks = F.broadcast(rows.sparkSession.createDataFrame([(x["own"], x["blocks"]) for x in size], "own int, blocks int"))
+    r = r.join(blocks, "own").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+    # the tests of a length class meet every block of its trains
+    t = rows.filter("test = 1").withColumn("side", F.lit(1)).withColumn("own", F.explode(F.sequence("low", "high")))
+    t = t.join(blocks, "own").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tasks = 2 * sum(x["blocks"] for x in size)
+    both = r.select(columns).union(t.select(columns)).repartition(tasks, "own", "block").sortWithinPartitions("own", "block", "side")
+
+    def met(trains: list[pa.RecordBatch], tests: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if trains and tests:
+            a, b = pa.Table.from_batches(tests), pa.Table.from_batches(trains)
+            i, j = meetings(a, b)
+            x, y = a["rep"].to_numpy()[i], b["rep"].to_numpy()[j]
+            yield pa.RecordBatch.from_arrays([pa.array(x[x != y]), pa.array(y[x != y])], ["t", "r"])
 
-    def blocks(side: DataFrame, name: str, at: str) -> DataFrame:
-        """Rows by length class and block; a class has a block per PREFIX_WORDS."""
-        # as many rows as there are length classes
-        size = side.groupBy(at).agg(F.ceil(F.sum("size") / PREFIX_WORDS).cast("int").alias(name))
-        return side.join(F.broadcast(size), at)
-
-    t = rows.filter("test = 1").select("rep", "n", "size", "prefix", F.explode(F.sequence("low", "high")).alias("own"))
-    t = blocks(t, "tests", "own").withColumn("tb", F.pmod(F.xxhash64("rep"), "tests").cast("int"))
-    r = rows.filter("train = 0").select("rep", "n", "size", "prefix", "own")
-    r = blocks(r, "trains", "own").withColumn("rb", F.pmod(F.xxhash64("rep"), "trains").cast("int"))
-    # every block of a class meets every block of the other side's
-    number = lambda x, c: x.select("own", F.col(c).alias(c + "_n")).distinct()
-    t = t.join(F.broadcast(number(r, "trains")), "own").withColumn("rb", F.explode(F.sequence(F.lit(0), F.col("trains_n") - 1)))
-    r = r.join(F.broadcast(number(t, "tests")), "own").withColumn("tb", F.explode(F.sequence(F.lit(0), F.col("tests_n") - 1)))
-    key = ["own", "tb", "rb"]
-
-    def run(a: pa.Table, b: pa.Table) -> pa.Table:
-        if not a.num_rows or not b.num_rows:
-            return pa.table({"t": pa.array([], pa.int64()), "r": pa.array([], pa.int64())})
-        i, j = meetings(a, b)
-        x, y = a["rep"].to_numpy()[i], b["rep"].to_numpy()[j]
-        return pa.table({"t": x[x != y], "r": y[x != y]})
-
-    # columns of their own, as both sides come from one table
-    t, r = (x.select([F.col(c).alias(c) for c in ("rep", "n", "prefix", *key)]) for x in (t, r))
-    return t.groupBy(key).cogroup(r.groupBy(key)).applyInArrow(run, "t long, r long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, trains, tests, held = None, [], [], 0
+        for batch in batches:
+            key = np.stack([np.asarray(batch.column(c)) for c in ("own", "block", "side")])
+            cut = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1
+            for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), batch.num_rows]):
+                if hi == lo:
+                    continue
+                part = batch.slice(lo, hi - lo)
+                if block != tuple(key[:2, lo]):
+                    yield from met(trains, tests)
+                    block, trains, tests, held = tuple(key[:2, lo]), [], [], 0
+                if key[2, lo] == 0:
+                    trains.append(part)
+                    continue
+                tests.append(part)
+                held += part.nbytes // 4
+                if held >= TEST_WORDS:
+                    yield from met(trains, tests)
+                    tests, held = [], 0
+        yield from met(trains, tests)
+
+    return both.mapInArrow(run, "t long, r long")
 
 
 def common_words(a: np.ndarray, b: np.ndarray) -> int:
