@@ -371,6 +371,26 @@ def test_defects(spark, classifier):
     assert got == want
 
 
+def test_every_dialogue_counts_in_training(spark):
+    n = 4_400
+    place = F.shiftrightunsigned(F.xxhash64("record_id"), 1)
+    last = {r[0] for r in spark.range(n).withColumnRenamed("id", "record_id").orderBy(place.desc()).limit(2).collect()}
+    # a word that only the dialogues of the largest hashes hold
+    rows = [dialogue(i, [("What is it?", U), (("A quillomar stands " if i in last else "A modem stands ") + "near the bridge.", A)]) for i in range(n)]
+    fitted, pairs_ = pairs.train_on(make(spark, rows))
+    assert pairs_.filter("not invented").count() == n
+    assert kernels.Block(["quillomar"]).words()[0][0] in fitted.known
+
+
+def test_a_single_odd_pair_does_not_set_the_threshold():
+    model = pairs.Classifier(None, None)
+    cell = np.array([3000, 2900, 2800, -1000])
+    model.calibrate(cell, np.array([1000, 1, 1000, 5000]), np.array([1000, 0, 1000, 0]), 3)
+    assert -1000 < model.threshold[3] * pairs.CELLS < 2800
+    model.calibrate(cell, np.array([1000, 1, 1, 5000]), np.array([1000, 0, 1, 0]), 1)
+    assert -1000 < model.threshold[1] * pairs.CELLS < 2900
+
+
 # --- tokens and packing -------------------------------------------------------
 
 

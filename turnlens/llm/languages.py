@@ -79,31 +79,40 @@ def _contexts(words: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray
     return owner[coded], data[coded], ctx_keys, sym_keys
 
 
+def symbols(words: list[str], n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the symbols in their contexts of words that stand ``n`` times each, and how often they do."""
+    owner, _, _, sym_keys = _contexts(words)
+    keys = np.concatenate(sym_keys)
+    weight = np.tile(n[owner], len(sym_keys))
+    u, inv = np.unique(keys[keys != 0], return_inverse=True)
+    return u, np.bincount(inv, weight[keys != 0], minlength=u.size)
+
+
 class LanguageModel:
     """Frozen context trees of all languages."""
 
     def __init__(self, counts: list[dict[str, int]]):
         """``counts``: for each language its words and how often they were seen."""
-        sym: list[tuple[np.ndarray, np.ndarray, int]] = []
-        for lang, seen in enumerate(counts):
-            if not seen:
-                continue
-            owner, _, _, sym_keys = _contexts(list(seen))
-            weight = np.fromiter(seen.values(), np.float64, len(seen))[owner]
-            for keys in sym_keys:
-                ok = keys != 0
-                u, inv = np.unique(keys[ok], return_inverse=True)
-                sym.append((u, np.bincount(inv, weight[ok], minlength=u.size), lang))
+        self._plant([(*symbols(list(seen), np.fromiter(seen.values(), np.float64, len(seen))), lang) for lang, seen in enumerate(counts) if seen], len(counts))
+
+    @classmethod
+    def of_symbols(cls, sym: list[tuple[np.ndarray, np.ndarray, int]]) -> LanguageModel:
+        """From symbols in their contexts, how often they were seen, and the language; see :func:`symbols`."""
+        model = cls.__new__(cls)
+        model._plant(sym, len(LANGS))
+        return model
+
+    def _plant(self, sym: list[tuple[np.ndarray, np.ndarray, int]], langs: int) -> None:
         all_keys = np.concatenate([u for u, _, _ in sym]) if sym else np.zeros(0, np.uint64)
         self.sym = np.unique(all_keys)
-        self.count = np.zeros((self.sym.size + 1, len(counts)), np.float32)
+        self.count = np.zeros((self.sym.size + 1, langs), np.float32)
         for u, c, lang in sym:
             self.count[np.searchsorted(self.sym, u), lang] += c
         low = np.uint64(0xFF) | np.uint64(1) << np.uint64(63)
         ctx_of = self.sym & ~low
         self.ctx, inv = np.unique(ctx_of, return_inverse=True)
-        self.total = np.zeros((self.ctx.size + 1, len(counts)), np.float32)
-        self.kinds = np.zeros((self.ctx.size + 1, len(counts)), np.float32)
+        self.total = np.zeros((self.ctx.size + 1, langs), np.float32)
+        self.kinds = np.zeros((self.ctx.size + 1, langs), np.float32)
         np.add.at(self.total, inv, self.count[:-1])
         np.add.at(self.kinds, inv, (self.count[:-1] > 0).astype(np.float32))
         self._cache_keys: np.ndarray | None = None
@@ -232,7 +241,7 @@ def segment(model: LanguageModel, block: K.Block) -> dict[str, np.ndarray]:
     turn_bits = K.sums(bits, off)
     if not h.size:
         empty = np.zeros(0, np.int64)
-        return {"lang": empty, "bits": np.zeros((0, len(LANGS))), "words": empty, "text": empty, "first": empty, "start": empty, "end": empty, "starts": empty, "turn_bits": turn_bits, "off": off, "hash": h}
+        return {"lang": empty, "bits": np.zeros((0, len(LANGS))), "words": empty, "text": empty, "first": empty, "start": empty, "end": empty, "starts": empty, "ends": empty, "turn_bits": turn_bits, "off": off, "hash": h}
     breaks = np.cumsum(K.table("break", _break_of, np.uint8)(block.cp), dtype=np.int64)
     key = breaks[s]
     new = np.concatenate(([True], key[1:] != key[:-1]))
@@ -247,7 +256,7 @@ def segment(model: LanguageModel, block: K.Block) -> dict[str, np.ndarray]:
     lang = np.where(weak, turn_lang, lang)
     return {
         "lang": lang, "bits": sent, "words": np.diff(soff), "text": text, "first": first,
-        "start": s[first], "end": e[soff[1:] - 1], "starts": s, "turn_bits": turn_bits, "off": off, "hash": h,
+        "start": s[first], "end": e[soff[1:] - 1], "starts": s, "ends": e, "turn_bits": turn_bits, "off": off, "hash": h,
     }
 
 
