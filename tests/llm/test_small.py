@@ -391,6 +391,59 @@ def test_a_single_odd_pair_does_not_set_the_threshold():
     assert -1000 < model.threshold[1] * pairs.CELLS < 2900
 
 
+def test_words_leave_a_batch_once_and_strays_are_taken_away():
+    rng = random.Random(11)
+    turns, langs = [], []
+    for i in range(1200):  # more than a block
+        said, label = (("en", "fr", "de", "es")[k] for k in (i % 4, (i + (i % 10 == 0)) % 4))
+        w = SAMPLES[said].split()
+        turns.append([{"content": " ".join(rng.choices(w, k=100)), "role": A}])
+        langs.append(None if i % 7 == 0 else label)
+    assert sum(len(t[0]["content"]) for t in turns) > kernels.BLOCK
+    kind = pa.list_(pa.struct([("content", pa.string()), ("role", pa.string())]))
+    dialogues = lambda at: pairs.Here(list(pairs._unified(iter([pa.RecordBatch.from_arrays([pa.array(at), pa.array([langs[i] for i in at], pa.string()), pa.array([turns[i] for i in at], kind)], ["record_id", "lang", "messages"])]))))
+    both = dialogues(list(range(1200)))
+    (out,) = pairs._words(iter(both.batches))
+    want: dict[tuple[str, int], list[int]] = {}
+    for lang, ((turn,)) in zip(langs, turns):
+        words = [w.strip(".,").lower() for w in turn["content"].split()]
+        for k, w in enumerate(words):
+            n = want.setdefault((w, pairs.LANGS.index(lang) if lang else -1), [0, 0])
+            n[0] += 1
+            n[1] += k < len(words) - 1
+    got = list(zip(*(out.column(c).to_pylist() for c in ("word", "lang", "n", "inner"))))
+    assert len(got) == len(want) and {(w, lang): [n, inner] for w, lang, n, inner in got} == want
+
+    symbol = ("lang int, key long, n long", ["lang", "key"])
+    counted = pairs.Here([out]).summed(pairs._symbols, *symbol)
+    model = pairs.Classifier(pairs._trees(counted), np.zeros(0, np.uint64))
+    trees = pairs._trees(counted, both.summed(pairs._strays(both.share(model)), *symbol))
+    own = [i for i in range(1200) if langs[i] == ("en", "fr", "de", "es")[i % 4]]
+    clean = pairs._trees(pairs.Here(list(pairs._words(iter(dialogues(own).batches)))).summed(pairs._symbols, *symbol))
+    for name in ("sym", "count", "ctx", "total", "kinds"):
+        assert np.array_equal(getattr(trees, name), getattr(clean, name))
+
+
+def test_scores_are_the_sums_of_each_pair():
+    rng = np.random.default_rng(3)
+    size = np.array([0, 3, 0, 0, 5, 1, 0])
+    off = np.concatenate(([0], np.cumsum(size)))
+    grams = rng.integers(0, pairs.BUCKETS, off[-1]).astype(np.uint16)
+    rows = pairs.Rows((grams, off), (grams[:0], np.zeros(len(off), np.int64)), [np.array([-1, 2, -1, 4, -1, -1, 7])], rng.random((7, len(pairs.DENSE)), np.float32))
+    w, dense = rng.random((2 * pairs.BUCKETS, 5)), rng.random((len(pairs.DENSE), 5))
+    want = rows.dense @ dense
+    for i, e in enumerate(rows.ends[0]):
+        want[i] += sum(w[g] for g in grams[off[i] : off[i + 1]]) / max(size[i], 1) ** 0.5 + (w[e + pairs.BUCKETS] if e >= 0 else 0)
+    assert np.allclose(rows.scores(w, dense), want)
+
+
+@given(st.lists(st.text(st.sampled_from("aé.-! \n…\u200b"), max_size=40), max_size=4))
+def test_words_lose_the_signs_at_their_ends(texts):
+    block = kernels.Block(texts)
+    got = [block.joined[a:b] for a, b in zip(*(x.tolist() for x in block.spans()))]
+    assert got == [w for w in (w.strip(".-!…") for t in texts for w in t.split()) if w]
+
+
 # --- tokens and packing -------------------------------------------------------
 
 

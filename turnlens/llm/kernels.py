@@ -120,7 +120,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def strings(col: pa.Array) -> list[str]:
     """Python strings of a column; null as the empty text."""
-    return [s or "" for s in col.to_pylist()]
+    return [s or "" for s in col.to_numpy(zero_copy_only=False).tolist()]
 
 
 def blocks(lengths: np.ndarray, size: int = BLOCK) -> Iterator[tuple[int, int]]:
@@ -158,15 +158,17 @@ class Block:
         edge = np.flatnonzero(solid[1:] != solid[:-1]) + 1
         if solid.size and solid[0]:
             edge = np.concatenate(([0], edge))
-        s, e = edge[0::2], edge[1::2]  # a block ends in a newline
-        core = solid & ((self.cls & PUNCT) == 0)
-        where = np.flatnonzero(core)
-        count = np.cumsum(core, dtype=np.int32)
-        before = count[s] - core[s]
-        upto = count[e - 1]
-        ok = upto > before
-        before, upto = before[ok], upto[ok]
-        return where[before], where[upto - 1] + 1
+        s, e = edge[0::2].copy(), edge[1::2].copy()  # a block ends in a newline
+        punct = (self.cls & PUNCT) != 0
+        for _ in range(2):  # most words have few signs at their ends
+            s[punct[s] & (s < e)] += 1
+            e[punct[e - 1] & (s < e)] -= 1
+        signs = punct.tobytes()
+        for i in np.flatnonzero((punct[s] | punct[e - 1]) & (s < e)).tolist():
+            first = signs.find(0, s[i], e[i])
+            s[i], e[i] = (first, signs.rfind(0, first, e[i]) + 1) if first >= 0 else (e[i], e[i])
+        ok = s < e
+        return s[ok], e[ok]
 
     def prefix(self, values: np.ndarray | None = None) -> np.ndarray:
         """Running sums from which :meth:`hashes` are read."""
@@ -215,6 +217,15 @@ def sums(values: np.ndarray, off: np.ndarray) -> np.ndarray:
     return c[off[1:]] - c[off[:-1]]
 
 
+def totals(values: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Sum of the rows values[off[i]:off[i+1]] for each i (0 for empty stretches), each for itself."""
+    out = np.zeros((len(off) - 1,) + values.shape[1:], values.dtype)
+    full = np.flatnonzero(np.diff(off))
+    if full.size:
+        out[full] = np.add.reduceat(values, off[full], axis=0)
+    return out
+
+
 def sums_u64(values: np.ndarray, off: np.ndarray) -> np.ndarray:
     """The same for 64-bit hashes, modulo 2**64."""
     c = np.zeros(len(values) + 1, np.uint64)

@@ -238,7 +238,7 @@ def segment(model: LanguageModel, block: K.Block) -> dict[str, np.ndarray]:
     """
     h, s, e, off = block.words()
     bits = model.of_words(h, s, e, block.joined).astype(np.float64)
-    turn_bits = K.sums(bits, off)
+    turn_bits = K.totals(bits, off)
     if not h.size:
         empty = np.zeros(0, np.int64)
         return {"lang": empty, "bits": np.zeros((0, len(LANGS))), "words": empty, "text": empty, "first": empty, "start": empty, "end": empty, "starts": empty, "ends": empty, "turn_bits": turn_bits, "off": off, "hash": h}
@@ -247,7 +247,7 @@ def segment(model: LanguageModel, block: K.Block) -> dict[str, np.ndarray]:
     new = np.concatenate(([True], key[1:] != key[:-1]))
     first = np.flatnonzero(new)
     soff = np.append(first, h.size)
-    sent = K.sums(bits, soff)
+    sent = K.totals(bits, soff)
     text = np.searchsorted(off, first, "right") - 1
     lang = sent.argmin(1)
     turn_lang = turn_bits.argmin(1)[text]

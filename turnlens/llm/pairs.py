@@ -142,8 +142,8 @@ def _item_before(text: str) -> str:
 def _stands_in(text: str) -> bool:
     """Does a text hold nothing but words that stand in for a missing answer?"""
     any_word = False
-    for m in _UNIT.finditer(text.lower()):
-        if m.group() not in STAND_INS:
+    for m in _UNIT.finditer(text):
+        if m.group().lower() not in STAND_INS:
             return False
         any_word = True
     return any_word
@@ -152,7 +152,8 @@ def _stands_in(text: str) -> bool:
 def _once(h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of hashes, each once in a text, and their offsets by text."""
     wide = np.repeat(np.arange(len(off) - 1, dtype=np.int64), np.diff(off)) * BUCKETS
-    key = np.unique(wide + ((h >> np.uint64(20)) % np.uint64(BUCKETS)).astype(np.int64))
+    key = np.sort(wide + ((h >> np.uint64(20)) % np.uint64(BUCKETS)).astype(np.int64))
+    key = key[np.diff(key, prepend=-1) != 0]
     return key % BUCKETS, np.searchsorted(key, np.arange(len(off)) * BUCKETS)
 
 
@@ -178,7 +179,9 @@ class Rows:
         out = self.dense @ dense
         for (idx, off) in (self.grams, self.pairs_of):
             n = np.maximum(np.diff(off), 1)
-            out += K.sums(w[idx], off) / np.sqrt(n)[:, None]
+            for lo in range(0, len(out), BATCH):
+                part = off[lo : lo + BATCH + 1]
+                out[lo : lo + BATCH] += K.totals(w.take(idx[part[0] : part[-1]], axis=0), part - part[0]) / np.sqrt(n[lo : lo + BATCH])[:, None]
         for e in self.ends:
             out += np.where(e >= 0, 1, 0)[:, None] * w[np.maximum(e, 0) + BUCKETS]
         return out
@@ -187,10 +190,10 @@ class Rows:
         """Gradients for the hashed and the dense weights."""
         gw = np.zeros((2 * BUCKETS, err.shape[1]))
         for (idx, off) in (self.grams, self.pairs_of):
-            n = np.maximum(np.diff(off), 1)
-            spread = np.repeat(err / np.sqrt(n)[:, None], np.diff(off), axis=0)
-            for c in range(err.shape[1]):
-                gw[:BUCKETS, c] += np.bincount(idx, spread[:, c], minlength=BUCKETS)
+            n = np.diff(off)
+            idx = idx.astype(np.intp)
+            for c, each in enumerate((err / np.sqrt(np.maximum(n, 1))[:, None]).T):
+                gw[:BUCKETS, c] += np.bincount(idx, np.repeat(each, n), minlength=BUCKETS)
         for e in self.ends:
             ok = e >= 0
             for c in range(err.shape[1]):
@@ -213,9 +216,13 @@ def _unpacked(col: pa.Array, dtype) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _taken(values: np.ndarray, off: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    size = np.diff(off)[rows]
-    new = np.concatenate(([0], np.cumsum(size)))
-    return values[np.arange(new[-1]) + np.repeat(off[:-1][rows] - new[:-1], size)], new
+    """The numbers of some texts, in their order."""
+    if not rows.size:
+        return values[:0], off[:1] * 0
+    lo, hi = rows[0], rows[-1] + 1
+    size, keep = np.diff(off[lo : hi + 1]), np.zeros(hi - lo, bool)
+    keep[rows - lo] = True
+    return values[off[lo] : off[hi]][np.repeat(keep, size)], np.concatenate(([0], np.cumsum(size[keep])))
 
 
 class Features(Rows):
@@ -236,18 +243,17 @@ class Features(Rows):
         last = np.where(an > 0, aoff[1:] - 1, 0)
         has = an > 0
         lw = np.where(has, ah[last] if ah.size else 0, 0).astype(np.uint64)
-        item = np.zeros(n, np.uint64)
         d = np.zeros((n, len(DENSE)))
         d[:, 0] = 1
         core = (block.cls & (K.LETTER | K.DIGIT)) != 0
         cores = np.concatenate(([0], np.cumsum(core)))
         col = {name: k for k, name in enumerate(DENSE)}
         d[:, col["nothing"]] = cores[block.end[n:]] - cores[block.start[n:]] == 0
-        for i, a in enumerate(pairs.answer):
-            d[i, col["stand_in"]] = _stands_in(a)
-            d[i, col["open_fence"]] = a.count("```") % 2
-            d[i, col["terminal"] : col["open_item"] + 1] = _end(a)
-            item[i] = int(d[i, col["closed_item"]])
+        if n:
+            d[:, col["stand_in"]] = [_stands_in(a) for a in pairs.answer]
+            d[:, col["open_fence"]] = [a.count("```") % 2 for a in pairs.answer]
+            d[:, col["terminal"] : col["open_item"] + 1] = [_end(a) for a in pairs.answer]
+        item = d[:, col["closed_item"]].astype(np.uint64)
         at = np.searchsorted(known, lw)
         rare = has & ~((at < known.size) & (known[np.minimum(at, known.size - 1)] == lw if known.size else False))
         first = block.cls[g["starts"][a0:][last]] if ah.size else np.zeros(n, np.uint8)
@@ -548,41 +554,80 @@ def _unified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("record_id").cast(pa.int64()), pa.array(lang, pa.int32()), turns], ["record_id", "lang", "messages"])
 
 
-def _words(model) -> Callable:
-    """Words by label with their number, and how many are not the last of their text; with a model only of texts it finds in the language of their label."""
+class Counted:
+    """Words by label, how often they stand there and how many of them are not the last of their text."""
+
+    def __init__(self):
+        self.words: dict[int, str] = {}
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def add(self, block: K.Block, h: np.ndarray, s: np.ndarray, e: np.ndarray, woff: np.ndarray, labels: np.ndarray) -> None:
+        """Words of a block whose texts have these labels."""
+        if not h.size:
+            return
+        inner = np.ones(h.size, np.int64)
+        inner[woff[1:][np.diff(woff) > 0] - 1] = 0
+        u, at = self._places(h)
+        first = np.zeros(u.size, np.int64)
+        first[at[::-1]] = np.arange(h.size - 1, -1, -1)
+        for k, a, b in zip(u.tolist(), s[first].tolist(), e[first].tolist()):
+            if k not in self.words:
+                self.words[k] = block.joined[a:b].lower()
+        self.parts.append(self._summed(u, at, np.repeat(labels, np.diff(woff)), np.ones(h.size), inner))
+
+    @staticmethod
+    def _places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The different hashes, and the place of each hash among them."""
+        coded = pa.array(h.view(np.int64)).dictionary_encode()
+        return coded.dictionary.to_numpy().view(np.uint64), coded.indices.to_numpy()
+
+    @staticmethod
+    def _summed(u: np.ndarray, at: np.ndarray, labels: np.ndarray, n: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        key = at * np.int64(len(LANGS) + 1) + labels + 1
+        n, inner = (np.bincount(key, x).astype(np.int64) for x in (n, inner))
+        has = np.flatnonzero(n)
+        return u[has // (len(LANGS) + 1)], has % (len(LANGS) + 1) - 1, n[has], inner[has]
+
+    def table(self) -> pa.RecordBatch | None:
+        if not self.parts:
+            return None
+        h, *rest = (np.concatenate(x) for x in zip(*self.parts))
+        h, labels, n, inner = self._summed(*self._places(h), *rest)
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(labels, pa.int32()), pa.array([self.words[k] for k in h.tolist()], pa.string()), pa.array(n), pa.array(inner)], ["hash", "lang", "word", "n", "inner"])
+
+
+def _labelled(batch: pa.RecordBatch) -> Iterator[tuple[K.Block, np.ndarray]]:
+    """Blocks of a batch's texts, with the labels of their dialogues."""
+    off, content, _ = K.messages(batch.column("messages"))
+    texts, lang = K.strings(content), np.repeat(np.asarray(batch.column("lang")).astype(np.int64), np.diff(off))
+    for lo, hi in K.blocks(np.fromiter(map(len, texts), np.int64, len(texts))):
+        yield K.Block(texts[lo:hi]), lang[lo:hi]
+
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words by label with their number, and how many are not the last of their text; each once a batch."""
+    for batch in batches:
+        seen = Counted()
+        for block, labels in _labelled(batch):
+            seen.add(block, *block.words(), labels)
+        if (out := seen.table()) is not None:
+            yield out
+
+
+def _strays(model) -> Callable:
+    """Symbols of words in their contexts, by label, of texts that the model finds in another language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            off, content, _ = K.messages(batch.column("messages"))
-            texts, lang = K.strings(content), np.repeat(np.asarray(batch.column("lang")).astype(np.int64), np.diff(off))
-            for lo, hi in K.blocks(np.fromiter(map(len, texts), np.int64, len(texts))):
-                block = K.Block(texts[lo:hi])
-                own = lang[lo:hi]
-                if model is None:
-                    h, s, e, woff = block.words()
-                else:
-                    g = segment(model.value.langs, block)
-                    h, woff = g["hash"], g["off"]
-                    s, e = (g["starts"], g["ends"]) if h.size else (h, h)
-                    own = np.where(g["turn_bits"].argmin(1) == own, own, -1)
-                if not h.size:
-                    continue
-                inner = np.ones(h.size, np.int64)
-                inner[woff[1:][np.diff(woff) > 0] - 1] = 0
-                by = np.repeat(own, np.diff(woff))
-                use = np.flatnonzero(by >= 0) if model is not None else np.arange(h.size)
-                if not use.size:
-                    continue
-                order = use[np.lexsort((by[use], h[use]))]
-                new = np.concatenate(([True], (h[order][1:] != h[order][:-1]) | (by[order][1:] != by[order][:-1])))
-                first, cut = order[new], np.append(np.flatnonzero(new), order.size)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(h[first].view(np.int64)), pa.array(by[first], pa.int32()), pa.array([block.joined[a:b].lower() for a, b in zip(s[first].tolist(), e[first].tolist())], pa.string()),
-                        pa.array(np.diff(cut)), pa.array(K.sums(inner[order], cut)),
-                    ],
-                    ["hash", "lang", "word", "n", "inner"],
-                )
+            seen = Counted()
+            for block, labels in _labelled(batch):
+                h, s, e, woff = block.words()
+                bits = K.totals(model.value.langs.of_words(h, s, e, block.joined).astype(np.float64), woff)
+                stray = (labels >= 0) & (bits.argmin(1) != labels)
+                at = np.flatnonzero(np.repeat(stray, np.diff(woff)))
+                seen.add(block, h[at], s[at], e[at], np.concatenate(([0], np.cumsum(np.diff(woff)[stray]))), labels[stray])
+            if (out := seen.table()) is not None:
+                yield from _symbols(iter([out]))
 
     return run
 
@@ -602,15 +647,26 @@ def _inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("hash"), batch.column("inner")], ["hash", "inner"])
 
 
-def _trees(words: Here | Spread) -> LanguageModel:
-    """Language trees from words by language, and from the invented refusals."""
+def _trees(counted: pa.Table, less: pa.Table | None = None) -> LanguageModel:
+    """Language trees from symbols by language, without those of ``less``, and from the invented refusals."""
     said = [(w.lower(), lang) for lang, ways in REFUSALS.items() for t in ways.replace("{}", "").split("|") for w in _words_of(t)]
     own = pa.RecordBatch.from_arrays([pa.array([LANGS.index(lang) for _, lang in said], pa.int32()), pa.array([w for w, _ in said]), pa.array(np.ones(len(said), np.int64))], ["lang", "word", "n"])
-    out = []
-    for t in (words.summed(_symbols, "lang int, key long, n long", ["lang", "key"]), Here([own]).summed(_symbols, "", ["lang", "key"])):
+
+    def by_lang(t: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
         lang, key, n = (t.column(c).to_numpy() for c in ("lang", "key", "n"))
-        out += [(key[lang == j].view(np.uint64), n[lang == j], j) for j in range(len(LANGS)) if (lang == j).any()]
-    return LanguageModel.of_symbols(out)
+        return [(key[lang == j].view(np.uint64), n[lang == j]) for j in range(len(LANGS))]
+
+    out = []
+    for j, (key, n) in enumerate(by_lang(counted)):
+        order = np.argsort(key)
+        key, n = key[order], n[order]
+        if less is not None:
+            gone, times = by_lang(less)[j]
+            n[np.searchsorted(key, gone)] -= times
+            key, n = key[n > 0], n[n > 0]
+        out.append((key, n, j))
+    out += [(*x, j) for j, x in enumerate(by_lang(Here([own]).summed(_symbols, "", ["lang", "key"])))]
+    return LanguageModel.of_symbols([x for x in out if x[0].size])
 
 
 def _words_of(text: str) -> list[str]:
@@ -648,9 +704,9 @@ def _features(model) -> Callable:
 def _blocks_of(batch: pa.RecordBatch, unified: bool) -> Iterator[tuple[pa.Array, np.ndarray, Pairs]]:
     """Record, turn and texts of the pairs of a user's and an assistant's turn."""
     off, content, role = K.messages(batch.column("messages"))
-    roles = np.array([{"user": 1, "assistant": 2}.get(r, 0) for r in role.to_pylist()], np.int8)
+    user, assistant = (pc.fill_null(pc.equal(role, x), False).to_numpy(zero_copy_only=False) for x in ("user", "assistant"))
     rec = np.repeat(np.arange(len(off) - 1), np.diff(off))
-    at = np.flatnonzero((roles[1:] == 2) & (roles[:-1] == 1) & (rec[1:] == rec[:-1])) + 1
+    at = np.flatnonzero(assistant[1:] & user[:-1] & (rec[1:] == rec[:-1])) + 1
     if not at.size:
         return
     texts = K.strings(content) if unified else unify_all(K.strings(content))[0]
@@ -661,8 +717,8 @@ def _blocks_of(batch: pa.RecordBatch, unified: bool) -> Iterator[tuple[pa.Array,
         yield ids.take(pa.array(rec[part])), part - off[rec[part]], Pairs([texts[i - 1] for i in part], [texts[i] for i in part])
 
 
-def _cases(batch: pa.RecordBatch, first: Classifier | None) -> tuple[Rows, np.ndarray, np.ndarray]:
-    """Pairs of a fit, with a column per defect, and whether they are held out.
+def _cases(batch: pa.RecordBatch, first: Classifier | None, held: bool) -> tuple[Rows, np.ndarray, np.ndarray]:
+    """All pairs, with a column per defect, and places of those of a fit that are held out from it, or are not.
 
     The first fit takes the finished pairs; the second (with the ``first``) all
     pairs without an invented defect as far as the first is sure of them.
@@ -670,18 +726,18 @@ def _cases(batch: pa.RecordBatch, first: Classifier | None) -> tuple[Rows, np.nd
     rows = Rows.of(batch)
     invented, label, part = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("invented", "defect", "part"))
     y = (label[:, None] == np.arange(len(DEFECTS))).astype(np.float64)
+    here = (part == (first is not None)) == held
     if first is None:
-        use = invented | batch.column("stays").to_numpy(zero_copy_only=False)
-    else:
-        s = rows.scores(first.w, first.dense)
-        over = (s - first.threshold) / first.unit
-        refusal = DEFECTS.index("refusal")
-        refused = (label < 0) & (over.argmax(1) == refusal) & (over[:, refusal] > 0)
-        sound = (over.max(1) <= 0) & (s.max(1) < 0)
-        y[refused, refusal] = 1
-        use = (label >= 0) | refused | sound
-    at = np.flatnonzero(use)
-    return rows.take(at), y[at], part[at] == (first is not None)
+        return rows, y, np.flatnonzero(here & (invented | batch.column("stays").to_numpy(zero_copy_only=False)))
+    asked = np.flatnonzero(here & (label < 0))
+    s = rows.take(asked).scores(first.w, first.dense)
+    over = (s - first.threshold) / first.unit
+    refusal = DEFECTS.index("refusal")
+    refused = (over.argmax(1) == refusal) & (over[:, refusal] > 0)
+    sound = (over.max(1) <= 0) & (s.max(1) < 0)
+    y[asked[refused], refusal] = 1
+    here[asked] = refused | sound
+    return rows, y, np.flatnonzero(here)
 
 
 def _tally(first) -> Callable:
@@ -691,8 +747,8 @@ def _tally(first) -> Callable:
         n = np.zeros(len(DEFECTS) + 1, np.int64)
         for batch in batches:
             if batch.num_rows:
-                _, y, held = _cases(batch, first.value)
-                n += np.append(y[~held].sum(0), (~held).sum()).astype(np.int64)
+                _, y, at = _cases(batch, first.value, held=False)
+                n += np.append(y[at].sum(0), at.size).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array([*range(len(DEFECTS)), -1], pa.int32()), pa.array(n)], ["defect", "n"])
 
     return run
@@ -718,8 +774,7 @@ def _steps(batches: Iterator[pa.RecordBatch], first: Classifier | None) -> Itera
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows, y, held = _cases(batch, first)
-        at = np.flatnonzero(~held)
+        rows, y, at = _cases(batch, first, held=False)
         while at.size:
             take = BATCH - sum(len(y) for _, y in wait)
             wait.append((rows.take(at[:take]), y[at[:take]]))
@@ -736,7 +791,7 @@ def _round(model, first, share: np.ndarray, steps: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         params = [model.value.w.copy(), model.value.dense.copy()]
-        state = [(np.zeros_like(p), np.zeros_like(p), np.zeros_like(p)) for p in params]
+        state = [tuple(np.zeros_like(p) for _ in range(4)) for p in params]
         t = pairs = 0
 
         def step(f: Rows, y: np.ndarray, full: int) -> None:
@@ -745,14 +800,22 @@ def _round(model, first, share: np.ndarray, steps: int) -> Callable:
             t += 1
             weight = 0.5 / np.maximum(share, 0.01) * y + 0.5 / np.maximum(1 - share, 0.01) * (1 - y)
             p = 1 / (1 + np.exp(-np.clip(f.scores(*params), -30, 30)))
-            for param, grad, pull, (m, v, mean) in zip(params, f.gradient((p - y) * weight / full), (PULL, DENSE_PULL), state):
-                grad = grad + np.array(pull) * param
-                m *= 0.9
-                m += 0.1 * grad
-                v *= 0.99
-                v += 0.01 * grad**2
-                param -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-                mean += (param - mean) * (4 / (t + 3))
+            for param, grad, pull, (m, v, mean, x) in zip(params, f.gradient((p - y) * weight / full), (PULL, DENSE_PULL), state):
+                # in place and part by part: the arrays' way to the processor costs more than the sums
+                for lo in range(0, len(param), 2048):
+                    moved(*(a[lo : lo + 2048] for a in (param, grad, m, v, mean, x)), pull)
+
+        def moved(param, grad, m, v, mean, x, pull) -> None:
+            grad += np.multiply(param, pull, out=x)
+            m *= 0.9
+            m += np.multiply(grad, 0.1, out=x)
+            v *= 0.99
+            np.multiply(grad, grad, out=grad)
+            v += np.multiply(grad, 0.01, out=grad)
+            np.sqrt(np.divide(v, 1 - 0.99**t, out=grad), out=grad)
+            grad += 1e-8
+            param -= np.divide(np.multiply(m, 0.1 / (1 - 0.9**t), out=x), grad, out=x)
+            mean += np.multiply(np.subtract(param, mean, out=x), 4 / (t + 3), out=x)
 
         kept: list[tuple[Rows, np.ndarray]] = []
         for f, y in _steps(batches, first.value):
@@ -766,7 +829,7 @@ def _round(model, first, share: np.ndarray, steps: int) -> Callable:
             for f, y in kept:
                 step(f, y, BATCH if len(kept) > 1 else len(y))
         if t:
-            flat = np.concatenate([mean.ravel() for _, _, mean in state]) * pairs
+            flat = np.concatenate([mean.ravel() for _, _, mean, _ in state]) * pairs
             at = np.append(np.flatnonzero(flat), flat.size)
             yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(np.append(flat, pairs)[at])], ["place", "value"])
 
@@ -777,18 +840,19 @@ def _scored(model, first) -> Callable:
     """How many held-out pairs have a score, and how many of them the defect."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, hits = (np.zeros((len(DEFECTS), 2 * LIMIT * CELLS + 1), np.int64) for _ in range(2))
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows, y, held = _cases(batch, first.value)
-            at = np.flatnonzero(held)
+            rows, y, at = _cases(batch, first.value, held=True)
             s = rows.take(at).scores(model.value.w, model.value.dense)
-            cells = np.floor(np.clip(s, -LIMIT, LIMIT) * CELLS).astype(np.int32)
+            cells = np.floor(np.clip(s, -LIMIT, LIMIT) * CELLS).astype(np.int64) + LIMIT * CELLS
             for c in range(len(DEFECTS)):
-                cell, inv = np.unique(cells[:, c], return_inverse=True)
-                n = np.bincount(inv, minlength=cell.size)
-                hits = np.bincount(inv, y[at, c], minlength=cell.size).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(cell.size, c, np.int32)), pa.array(cell), pa.array(n), pa.array(hits)], ["defect", "cell", "n", "hits"])
+                n[c] += np.bincount(cells[:, c], minlength=n.shape[1])
+                hits[c] += np.bincount(cells[y[at, c] > 0, c], minlength=n.shape[1])
+        for c in range(len(DEFECTS)):
+            cell = np.flatnonzero(n[c])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(cell.size, c, np.int32)), pa.array((cell - LIMIT * CELLS).astype(np.int32)), pa.array(n[c, cell]), pa.array(hits[c, cell])], ["defect", "cell", "n", "hits"])
 
     return run
 
@@ -819,12 +883,14 @@ def _fit(rows: Here | Spread, model: Classifier, first: Classifier | None, steps
 def _train(dialogues: Here | Spread) -> tuple[Classifier, Here | Spread]:
     """The classifier and the features of all pairs; of unified dialogues."""
     count = "hash long, lang int, word string, n long, inner long"
-    words = dialogues.kept(_words(None), count, ["hash", "lang", "word"], "words")
+    words = dialogues.kept(_words, count, ["hash", "lang", "word"], "words")
     # words that stand before the last of a text, as broken ones do not; invented sentences hold no rare words
     known = words.summed(_inner, "hash long, inner long", ["hash"], many="inner").column("hash").to_numpy().astype(np.int64).view(np.uint64)
-    model = Classifier(_trees(words), np.union1d(known, K.Block(_INVENTED).words()[0]))
+    symbol = "lang int, key long, n long"
+    counted = words.summed(_symbols, symbol, ["lang", "key"])
+    model = Classifier(_trees(counted), np.union1d(known, K.Block(_INVENTED).words()[0]))
     # labels may be wrong
-    model.langs = _trees(dialogues.kept(_words(dialogues.share(model)), count, ["hash", "lang", "word"], "words"))
+    model.langs = _trees(counted, dialogues.summed(_strays(dialogues.share(model)), symbol, ["lang", "key"]))
     rows = dialogues.mapped(_features(dialogues.share(model)), _ROW, "pairs")
     first = _fit(rows, model, None, STEPS[0], ROUNDS[0])
     if first is None:

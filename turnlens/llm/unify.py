@@ -120,6 +120,7 @@ def _spelling(script: str) -> dict[str, str]:
     return out
 
 
+@lru_cache(maxsize=1 << 16)
 def _spell(token: str) -> tuple[str, bool]:
     """A token in one script, and whether it mixed scripts or styles; confusable tokens are left."""
     shared: frozenset[str] | None = None
@@ -150,19 +151,30 @@ def _spell(token: str) -> tuple[str, bool]:
     return token, alike > 0
 
 
+@lru_cache(maxsize=1 << 16)
+def _settled(token: str) -> str | None:
+    """The script of a token's letters without look-alike, if such a letter settles it."""
+    found = (scripts(ch) for ch in token if ch not in LETTERS and not ch.isascii())
+    return next((next(iter(s)) for s in found if len(s) == 1 and not s & {"Latin", "other"}), None)
+
+
+@lru_cache(maxsize=1 << 16)
+def _plain(token: str) -> str:
+    return "".join(LETTERS.get(ch, ch) for ch in token)
+
+
 def _consistent(text: str) -> str:
     """The text with confusable tokens in the script of the tokens around them."""
     if not _ODD.search(text):
         return text
     tokens = [(m.start(), m.group()) for m in _TOKEN.finditer(text)]
-    # a letter without look-alike settles a token's script
-    settled = [next((s for ch in t if ch not in LETTERS and not ch.isascii() for s in (scripts(ch),) if len(s) == 1 and not s & {"Latin", "other"}), None) for _, t in tokens]
-    there = {next(iter(s)) for s in settled if s}
-    plain = ["".join(LETTERS.get(ch, ch) for ch in t) for _, t in tokens]
+    settled = [_settled(t) for _, t in tokens]
+    there = {s for s in settled if s}
+    plain = [_plain(t) for _, t in tokens]
     kind: list[str | None] = []
     for (_, token), s, p in zip(tokens, settled, plain):
         if s:
-            kind.append(next(iter(s)))
+            kind.append(s)
         elif p == token:  # without other scripts around, or letters they lack, it is what it is
             kind.append(None if any(all(ch in _spelling(x) for ch in p) for x in there) else "Latin")
         else:
@@ -189,14 +201,22 @@ def _consistent(text: str) -> str:
     return "".join(out) + text[at:]
 
 
+@lru_cache(maxsize=1 << 16)
+def _stands(ch: str) -> bool:
+    """Does a character stay as it is wherever it stands?"""
+    return not (_hidden(ch) or unicodedata.category(ch) == "Zs" or ch in SIGNS or ch == LOW_QUOTE or plain_form(ch) is not None)
+
+
 def unify(text: str) -> tuple[str, bool]:
     """The consistent form of a text, and whether it held a character to be replaced."""
     out: list[str] = []
     bad = False
+    done = 0
     for i, ch in enumerate(text):
-        if ch < " ":
-            out.append(ch)
+        if ch < " " or _stands(ch):
             continue
+        out.append(text[done:i])
+        done = i + 1
         if _hidden(ch):
             if _needed(text, i):
                 out.append(ch)
@@ -221,7 +241,7 @@ def unify(text: str) -> tuple[str, bool]:
             out.append(plain)
         else:
             out.append(ch)
-    joined = "".join(out)
+    joined = "".join(out) + text[done:]
     composed = unicodedata.normalize("NFC", joined)
     bad |= composed != joined
 
